@@ -26,11 +26,11 @@ def top_ranks(df: DataFrame, measure: str, k: int, name: str = "rank") -> DataFr
         .agg(F.collect_list(measure))
         .scalar()
     )
-    value = F.col(measure)
-    room_left = F.size(best) < k
-    kept = F.when(value.isNull(), room_left).otherwise(room_left | (value >= F.array_min(best)))
-    ahead = F.when(value.isNull(), F.size(best)).otherwise(F.size(F.filter(best, lambda b: b > value)))
-    return df.filter(kept).withColumn(name, ahead + 1)
+    value, listed = F.col(measure), F.col("_best")
+    room_left = F.size(listed) < k
+    kept = F.when(value.isNull(), room_left).otherwise(room_left | (value >= F.array_min(listed)))
+    ahead = F.when(value.isNull(), F.size(listed)).otherwise(F.size(F.filter(listed, lambda b: b > value)))
+    return df.withColumn("_best", best).filter(kept).withColumn(name, ahead + 1).drop("_best")
 
 
 def rank_all(df: DataFrame, measure: str, name: str = "rank", slices: int = 128) -> DataFrame:

@@ -38,4 +38,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rounded(expression: str, digits: int) -> str:
     """SQL for half-up rounding of a double as it prints, the way Spark rounds."""
-    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 15)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"

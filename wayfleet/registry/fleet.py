@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from wayfleet import schemas
 from wayfleet.operators.flatten import EVENT_PATHS
-from wayfleet.registry.base import table
+from wayfleet.registry.base import rounded, table
 
 # Expressions that the two dialects spell differently.
 _SPARK = {
@@ -28,15 +28,21 @@ _DUCK = {
 }
 
 
+def _shared(d: dict) -> dict[str, str]:
+    """Intermediate values several columns need."""
+    return {
+        "_taken": d["iso"]("(l_partkey % 86400)"),
+        "_mileage": f"{d['day_no']} * 10 + l_partkey % 10",
+        "_whole_price": "CAST(floor(l_extendedprice) AS BIGINT)",
+    }
+
+
 def _columns(d: dict) -> dict[str, str]:
-    """Flat column -> SQL expression over lineitem."""
+    """Flat column -> SQL expression over lineitem and the shared values."""
     iso, day = d["iso"], d["day"]
-    second = "l_partkey % 86400"
-    mileage = f"{d['day_no']} * 10 + l_partkey % 10"
+    mileage, plain, tenths = "_mileage", "_taken", "_whole_price"
     electric = "l_suppkey % 3 = 0"
-    tenths = "CAST(floor(l_extendedprice) AS BIGINT)"
-    at = f"CASE WHEN l_partkey % 211 = 0 THEN concat({iso(second)}, '?') ELSE {iso(second)} END"
-    plain = iso(second)
+    at = f"CASE WHEN l_partkey % 211 = 0 THEN concat({plain}, '?') ELSE {plain} END"
 
     def number(prefix: str, expression: str) -> str:
         return f"concat('{prefix}', CAST({expression} AS STRING))"
@@ -44,7 +50,7 @@ def _columns(d: dict) -> dict[str, str]:
     return {
         "event_id": "concat('evt_', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING))",
         "event_timestamp": at,
-        "processing_timestamp": iso(f"({second} + 5 + l_suppkey % 3600)"),
+        "processing_timestamp": iso("(l_partkey % 86400 + 5 + l_suppkey % 3600)"),
         "car_chassis": number("VIN-", "l_suppkey"),
         "static_info_timestamp": plain,
         "static_info_source": "'fleet_db'",
@@ -76,7 +82,7 @@ def _columns(d: dict) -> dict[str, str]:
         "trip_summary_timestamp": plain,
         "trip_summary_source": "'trip_computer'",
         "trip_start_timestamp": plain,
-        "trip_end_timestamp": iso(f"({second} + l_partkey % 240 * 60)"),
+        "trip_end_timestamp": iso("(l_partkey % 86400 + l_partkey % 240 * 60)"),
         "trip_distance_km": f"{tenths} % 5000 / 10e0",
         "trip_duration_minutes": "l_partkey % 240",
         "trip_fuel_consumed_liters": f"CASE WHEN {electric} THEN 0e0 ELSE {tenths} % 400 / 10e0 END",
@@ -111,7 +117,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as nested telemetry events."""
     expressions = _columns(_SPARK)
     by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
-    return table(spark, sf_dir, "lineitem").select(*_nested(schemas.EVENT, by_path))
+    shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
+    return table(spark, sf_dir, "lineitem").withColumns(shared).select(*_nested(schemas.EVENT, by_path))
 
 
 _BIGINTS = {
@@ -129,7 +136,8 @@ def _flat_sql() -> str:
         elif name in _BIGINTS:
             expression = f"CAST({expression} AS BIGINT)"
         parts.append(f"{expression} AS {name}")
-    return "SELECT " + ", ".join(parts) + " FROM lineitem"
+    shared = ", ".join(f"{text} AS {name}" for name, text in _shared(_DUCK).items())
+    return f"SELECT {', '.join(parts)} FROM (SELECT *, {shared} FROM lineitem)"
 
 
 # --- first-generation records over orders ---------------------------------------------
@@ -203,8 +211,6 @@ _D = f"DATE '{AS_OF}'"
 
 FLAT = f"flat AS ({_flat_sql()})"
 
-from wayfleet.registry.base import rounded  # noqa: E402
-
 _UNTIL = "try_cast(insurance_valid_until AS DATE)"
 
 DERIVED = f"""
