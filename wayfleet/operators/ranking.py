@@ -33,6 +33,16 @@ def top_ranks(df: DataFrame, measure: str, k: int, name: str = "rank") -> DataFr
     return df.withColumn("_best", best).filter(kept).withColumn(name, ahead + 1).drop("_best")
 
 
+def _slice_of(value: Column, cuts: list, first: int = 0) -> Column:
+    """Index of the slice ``value`` falls in, by bisection over descending ``cuts``."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(value < F.lit(cuts[middle]), _slice_of(value, cuts[middle + 1:], first + middle + 1)).otherwise(
+        _slice_of(value, cuts[:middle], first)
+    )
+
+
 def rank_all(df: DataFrame, measure: str, name: str = "rank", slices: int = 128) -> DataFrame:
     """RANK() of every row by descending ``measure`` (NULLs last) over the whole frame.
 
@@ -46,9 +56,7 @@ def rank_all(df: DataFrame, measure: str, name: str = "rank", slices: int = 128)
     cuts = values.agg(F.percentile_approx("_v", quantiles, slices * 50)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
     # Slice 0 holds the largest values; NULLs get the slice after the last.
-    place = F.lit(0)
-    for cut in cuts:
-        place = place + F.when(F.col("_v") < F.lit(cut), 1).otherwise(0)
+    place = _slice_of(F.col("_v"), cuts)
     sliced = values.withColumn("_slice", F.when(F.col("_v").isNull(), len(cuts) + 1).otherwise(place))
 
     inside = Window.partitionBy("_slice").orderBy(F.col("_v").desc_nulls_last())

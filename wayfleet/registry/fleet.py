@@ -233,12 +233,16 @@ once AS (
 ),
 silver AS (SELECT *, {DERIVED} FROM once)"""
 
-STATE = f"""{SILVER},
+
+
+def state_sql(rows: str = "silver") -> str:
+    """Current state over ``rows`` of Silver."""
+    return f"""{SILVER},
 latest AS (
     SELECT * EXCLUDE (place) FROM (
         SELECT *, row_number() OVER (PARTITION BY car_chassis
             ORDER BY current_mileage_km DESC NULLS LAST, event_timestamp DESC NULLS LAST,
-                     processing_timestamp DESC NULLS LAST, event_id DESC NULLS LAST) AS place FROM silver
+                     processing_timestamp DESC NULLS LAST, event_id DESC NULLS LAST) AS place FROM {rows}
     ) WHERE place = 1
 ),
 state AS (
@@ -250,6 +254,9 @@ state AS (
     FROM latest
 )"""
 
+
+STATE = state_sql()
+
 FUEL = f"""{SILVER},
 trips AS (
     SELECT * FROM silver WHERE car_chassis IS NOT NULL AND event_year IS NOT NULL AND event_month IS NOT NULL

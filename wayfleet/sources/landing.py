@@ -77,36 +77,43 @@ def landing_text(spark: SparkSession, path: str, glob: str = "*.json", streaming
     )
 
 
-def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str] = ("event_id", "carChassis")) -> DataFrame:
-    """Raw files -> records, with ``reject_reason`` set on what cannot be used.
+def record_texts(raw: Column) -> Column:
+    """The text of each record in a file: one object, an array, or one object per line.
 
-    A file holds one object, an array of objects, or one object per line. Records
-    that lack a required key (a foreign layout, say) are marked, and so is a file
-    that is not JSON; neither disturbs the other files of the batch.
+    Records are cut out as text first, so that a file of many records costs its own
+    size once, however its rows are used afterwards.
     """
-    document = F.from_json("raw", T.ArrayType(schema))
-    lines = F.filter(F.split("raw", r"\r?\n"), lambda line: F.trim(line) != "")
-    per_line = F.transform(lines, lambda line: F.from_json(line, schema))
-    # The document parser stops after the first object, so several object lines
-    # must not be mistaken for one document.
-    many_lines = (F.size(lines) > 1) & F.forall(
+    lines = F.filter(F.split(raw, r"\r?\n"), lambda line: F.trim(line) != "")
+    one_per_line = (F.size(lines) > 1) & F.forall(
         lines, lambda line: F.trim(line).startswith("{") & F.trim(line).endswith("}")
     )
-    parsed = raw.withColumn("_records", F.when(many_lines, per_line).otherwise(document))
-    exploded = parsed.withColumn("_record", F.explode_outer("_records")).drop("_records")
+    elements = F.when(F.ltrim(raw).startswith("["), F.from_json(raw, T.ArrayType(T.StringType())))
+    return F.when(one_per_line, lines).otherwise(F.coalesce(elements, F.array(raw)))
+
+
+def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str] = ("event_id", "carChassis")) -> DataFrame:
+    """Raw files -> records, with ``reject_reason`` set on what cannot be used.
+
+    Records that lack a required key (a foreign layout, say) are marked, and so is
+    text that is not JSON; neither disturbs the other records or files of the batch.
+    """
+    texts = raw.select(F.explode_outer(record_texts(F.col("raw"))).alias("raw"), "file_path", "file_size")
+    parsed = texts.withColumn("_record", F.from_json("raw", schema))
 
     names = [f.name for f in schema.fields]
     by_lower = {n.lower(): n for n in names}
-    needed = [by_lower[r.lower()] for r in required]
     no_fields = F.lit(True)
     for name in names:
         no_fields = no_fields & F.col(f"_record.`{name}`").isNull()
-    reason = F.when(F.col("_record").isNull(), F.lit("not_json")).when(no_fields, F.lit("foreign_layout"))
-    for name in needed:
-        reason = reason.when(F.col(f"_record.`{name}`").isNull(), F.lit(f"missing_{name}"))
-    return exploded.withColumn("reject_reason", reason).select(
-        *(F.col(f"_record.`{n}`").alias(n) for n in names), "raw", "file_path", "file_size", "reject_reason"
+    malformed = no_fields & F.try_parse_json("raw").isNull()
+    reason = (
+        F.when(F.col("raw").isNull(), F.lit("no_records"))
+        .when(malformed, F.lit("not_json"))
+        .when(no_fields, F.lit("foreign_layout"))
     )
+    for name in (by_lower[r.lower()] for r in required):
+        reason = reason.when(F.col(f"_record.`{name}`").isNull(), F.lit(f"missing_{name}"))
+    return parsed.withColumn("reject_reason", reason).select("_record.*", "raw", "file_path", "file_size", "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Quarantine rows: the reason, the file and its untouched text."""
+    """Quarantine rows: the reason, the file and the untouched text of the record."""
     return parsed.filter("reject_reason IS NOT NULL").select(
         "reject_reason", decoded_path(F.col("file_path")).alias("source_file"), "raw"
     )
