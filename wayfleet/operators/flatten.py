@@ -64,7 +64,7 @@ EVENT_PATHS: dict[str, str] = dict(line.split() for line in EVENT_COLUMNS.strip(
 
 def pick(df: DataFrame, paths: Mapping[str, str]) -> DataFrame:
     """Select dotted ``paths`` under flat names, in mapping order."""
-    return df.select(*(F.col(path).alias(name) for name, path in paths.items()))
+    return df.selectExpr(*(f"{path} AS `{name}`" for name, path in paths.items()))
 
 
 def leaves(schema: T.StructType, separator: str = "_", _above: tuple[str, ...] = ()) -> Iterator[tuple[str, str]]:

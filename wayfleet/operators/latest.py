@@ -14,7 +14,7 @@ def _descending(order: Sequence[str | Column]) -> list[Column]:
 def content_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """64-bit digest of a row; map columns (none in our layouts) cannot be hashed."""
     names = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*(F.col(f"`{n}`") for n in names))
+    return F.expr(f"xxhash64({', '.join(f'`{n}`' for n in names)})")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

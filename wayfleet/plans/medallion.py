@@ -50,7 +50,7 @@ class Layout:
 
 
 def state_schema(spark: SparkSession) -> T.StructType:
-    return current_state(schemas.empty(spark, jobs.silver_schema(spark))).schema
+    return jobs.layout_of("state", lambda: current_state(schemas.empty(spark, jobs.silver_schema(spark))))
 
 
 def refresh_products(delta: DataFrame, batch_id: int, layout: Layout, as_of: AsOf = None,

@@ -113,12 +113,20 @@ def _nested(schema: T.StructType, by_path: dict[str, str], above: str = "") -> l
     return built
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as nested telemetry events."""
+# Ship dates span seven years; folded onto four weeks they suit day-partitioned tables.
+_FOLDED_SPARK = "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST({day_no} % 28 AS INT))"
+_FOLDED_DUCK = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST({day_no} % 28 AS INT))"
+
+
+def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
+    """lineitem as nested telemetry events; ``folded`` puts them all in four weeks."""
     expressions = _columns(_SPARK)
     by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
     shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
-    return table(spark, sf_dir, "lineitem").withColumns(shared).select(*_nested(schemas.EVENT, by_path))
+    rows = table(spark, sf_dir, "lineitem")
+    if folded:
+        rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
+    return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))
 
 
 _BIGINTS = {
@@ -128,7 +136,7 @@ _BIGINTS = {
 }
 
 
-def _flat_sql() -> str:
+def _flat_sql(folded: bool = False) -> str:
     parts = []
     for name, expression in _columns(_DUCK).items():
         if name == "event_timestamp":
@@ -137,7 +145,10 @@ def _flat_sql() -> str:
             expression = f"CAST({expression} AS BIGINT)"
         parts.append(f"{expression} AS {name}")
     shared = ", ".join(f"{text} AS {name}" for name, text in _shared(_DUCK).items())
-    return f"SELECT {', '.join(parts)} FROM (SELECT *, {shared} FROM lineitem)"
+    rows = "lineitem"
+    if folded:
+        rows = f"(SELECT * REPLACE ({_FOLDED_DUCK.format(**_DUCK)} AS l_shipdate) FROM lineitem)"
+    return f"SELECT {', '.join(parts)} FROM (SELECT *, {shared} FROM {rows})"
 
 
 # --- first-generation records over orders ---------------------------------------------
@@ -235,9 +246,14 @@ silver AS (SELECT *, {DERIVED} FROM once)"""
 
 
 
-def state_sql(rows: str = "silver") -> str:
+def folded_sql(sql: str) -> str:
+    """The same query over ``events(..., folded=True)``."""
+    return sql.replace(_flat_sql(), _flat_sql(True))
+
+
+def state_sql(rows: str = "silver", folded: bool = False) -> str:
     """Current state over ``rows`` of Silver."""
-    return f"""{SILVER},
+    return f"""{folded_sql(SILVER) if folded else SILVER},
 latest AS (
     SELECT * EXCLUDE (place) FROM (
         SELECT *, row_number() OVER (PARTITION BY car_chassis

@@ -16,7 +16,7 @@ from wayfleet.plans.bronze import load_audit, require, to_bronze
 from wayfleet.plans.gold import alert_log
 from wayfleet.plans.silver import dated, flatten_events, silver
 from wayfleet.registry.base import query, rounded, table
-from wayfleet.registry.fleet import ALERTS, FLAT, FUEL, SILVER, STATE, events, state_sql
+from wayfleet.registry.fleet import ALERTS, FLAT, FUEL, SILVER, STATE, events, folded_sql, state_sql
 from wayfleet.registry.telemetry import AS_OF, settle
 from wayfleet.session import scratch
 from wayfleet.sinks import batches, files, snapshots
@@ -30,8 +30,8 @@ _SAMPLE = "event_id, car_chassis, event_timestamp, current_mileage_km, trip_dist
 _SAMPLE_COLUMNS = [c.strip() for c in _SAMPLE.split(",")]
 
 
-def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None) -> str:
-    lines = events(spark, d).select(F.to_json(F.struct("*")).alias("value"))
+def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None, folded: bool = False) -> str:
+    lines = events(spark, d, folded).select(F.to_json(F.struct("*")).alias("value"))
     writer = lines.write.option("maxRecordsPerFile", per_file) if per_file else lines.write
     writer.text(path)
     return path
@@ -194,18 +194,18 @@ def stream_first_delivery(spark, d):
 
 
 def _silver_files(spark: SparkSession, d: str, out: str) -> str:
-    files.append(dated(silver(events(spark, d), AS_OF)), f"{out}/silver", ["event_year"])
+    files.append(dated(silver(events(spark, d, folded=True), AS_OF)), f"{out}/silver", schemas.MONTH_PARTITIONS)
     return f"{out}/silver"
 
 
-@query("stream_alert_log", f"WITH {ALERTS} SELECT * FROM alerts WHERE event_year IS NOT NULL")
+@query("stream_alert_log", f"WITH {folded_sql(ALERTS)} SELECT * FROM alerts WHERE event_year IS NOT NULL")
 def stream_alert_log(spark, d):
     out = scratch(spark, "alerts")
     jobs.log_alerts(spark, _silver_files(spark, d, out), f"{out}/alerts", f"{out}/checkpoint")
     return settle(spark.read.schema(schemas.ALERT).parquet(f"{out}/alerts"))
 
 
-@query("stream_fuel_monthly", _FUEL_SQL)
+@query("stream_fuel_monthly", folded_sql(_FUEL_SQL))
 def stream_fuel_monthly(spark, d):
     out = scratch(spark, "fuelstream")
     source = _silver_files(spark, d, out)
@@ -214,11 +214,11 @@ def stream_fuel_monthly(spark, d):
     return settle(monthly.finish(merged).select(*_FUEL_COLUMNS), 9)
 
 
-@query("landing_to_products", f"WITH {state_sql('silver WHERE event_year IS NOT NULL')} SELECT {_STATE_SAMPLE} FROM state")
+@query("landing_to_products", f"WITH {state_sql('silver WHERE event_year IS NOT NULL', folded=True)} SELECT {_STATE_SAMPLE} FROM state")
 def landing_to_products(spark, d):
     """The whole flow from text files to the published current state."""
     root = scratch(spark, "flow")
-    layout = medallion.Layout(_as_json(spark, d, f"{root}/landing", per_file=2000), f"{root}/lake")
+    layout = medallion.Layout(_as_json(spark, d, f"{root}/landing", 2000, folded=True), f"{root}/lake")
     jobs.land_bronze(spark, layout.landing, layout.bronze, layout.quarantine, layout.audit,
                      layout.checkpoint("bronze"), glob="*.txt")
     medallion.build(spark, layout, AS_OF)

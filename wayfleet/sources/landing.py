@@ -83,10 +83,9 @@ def record_texts(raw: Column) -> Column:
     Records are cut out as text first, so that a file of many records costs its own
     size once, however its rows are used afterwards.
     """
+    # A whole object on the first line and another one starting on the next.
+    one_per_line = raw.rlike(r"^\s*\{[^\n]*\}[ \t\r]*\n\s*\{")
     lines = F.filter(F.split(raw, r"\r?\n"), lambda line: F.trim(line) != "")
-    one_per_line = (F.size(lines) > 1) & F.forall(
-        lines, lambda line: F.trim(line).startswith("{") & F.trim(line).endswith("}")
-    )
     elements = F.when(F.ltrim(raw).startswith("["), F.from_json(raw, T.ArrayType(T.StringType())))
     return F.when(one_per_line, lines).otherwise(F.coalesce(elements, F.array(raw)))
 
@@ -97,8 +96,12 @@ def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str]
     Records that lack a required key (a foreign layout, say) are marked, and so is
     text that is not JSON; neither disturbs the other records or files of the batch.
     """
-    texts = raw.select(F.explode_outer(record_texts(F.col("raw"))).alias("raw"), "file_path", "file_size")
-    parsed = texts.withColumn("_record", F.from_json("raw", schema))
+    # Parsed before the explode: a filter on the result then stays above it, instead of
+    # being pushed down with a copy of the parser for every column it mentions.
+    records = F.transform(
+        record_texts(F.col("raw")), lambda t: F.struct(t.alias("raw"), F.from_json(t, schema).alias("_record"))
+    )
+    parsed = raw.select(F.inline_outer(records), "file_path", "file_size")
 
     names = [f.name for f in schema.fields]
     by_lower = {n.lower(): n for n in names}

@@ -23,12 +23,22 @@ from wayfleet.sources.tables import folder_or_empty
 from wayfleet.streaming.sources import drain, landing_stream, parquet_stream
 
 
+_LAYOUTS: dict[str, T.StructType] = {}
+
+
+def layout_of(name: str, plan: Callable[[], DataFrame]) -> T.StructType:
+    """Columns a plan produces. They depend on the code only, so they are worked out once."""
+    if name not in _LAYOUTS:
+        _LAYOUTS[name] = plan().schema
+    return _LAYOUTS[name]
+
+
 def silver_schema(spark: SparkSession) -> T.StructType:
-    return silver(schemas.empty(spark, schemas.BRONZE)).schema
+    return layout_of("silver", lambda: silver(schemas.empty(spark, schemas.BRONZE)))
 
 
 def partials_schema(spark: SparkSession) -> T.StructType:
-    return monthly.partials(schemas.empty(spark, silver_schema(spark))).schema
+    return layout_of("partials", lambda: monthly.partials(schemas.empty(spark, silver_schema(spark))))
 
 
 def land_bronze(spark: SparkSession, landing: str, bronze: str, quarantine: str, audit: str, checkpoint: str,
