@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from wayfleet import schemas
 from wayfleet.operators.flatten import EVENT_PATHS
 from wayfleet.registry.base import rounded, table
+from wayfleet.sources.tables import at_least_parallel
 
 # Expressions that the two dialects spell differently.
 _SPARK = {
     "day_no": "datediff(CAST(l_shipdate AS DATE), DATE '1995-01-01')",
-    "iso": lambda s: f"date_format(l_shipdate + make_dt_interval(0, 0, 0, {s}), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
+    "iso": lambda s: f"date_format(timestampadd(SECOND, CAST({s} AS INT), l_shipdate), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     "day": lambda n: f"date_format(date_add(DATE '1998-09-02', CAST({n} AS INT)), 'yyyy-MM-dd')",
 }
 _DUCK = {
@@ -113,6 +114,9 @@ def _nested(schema: T.StructType, by_path: dict[str, str], above: str = "") -> l
     return built
 
 
+_USED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+         "l_tax", "l_shipdate")
+
 # Ship dates span seven years; folded onto four weeks they suit day-partitioned tables.
 _FOLDED_SPARK = "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST({day_no} % 28 AS INT))"
 _FOLDED_DUCK = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST({day_no} % 28 AS INT))"
@@ -123,7 +127,7 @@ def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
     expressions = _columns(_SPARK)
     by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
     shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
-    rows = table(spark, sf_dir, "lineitem")
+    rows = at_least_parallel(table(spark, sf_dir, "lineitem").select(*_USED))
     if folded:
         rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
     return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))
@@ -153,7 +157,7 @@ def _flat_sql(folded: bool = False) -> str:
 
 # --- first-generation records over orders ---------------------------------------------
 
-_LEGACY_SPARK = {"when": "date_format(o_orderdate + make_dt_interval(0, 0, 0, {s}), 'EEE, dd MMM yyyy HH:mm:ss')"}
+_LEGACY_SPARK = {"when": "date_format(timestampadd(SECOND, CAST({s} AS INT), o_orderdate), 'EEE, dd MMM yyyy HH:mm:ss')"}
 _LEGACY_DUCK = {"when": "strftime(o_orderdate + to_seconds({s}), '%a, %d %b %Y %H:%M:%S')"}
 
 
@@ -212,7 +216,7 @@ def legacy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 by_path[f"{above}{f.name}"] = flat[f"{above}{f.name}".replace(".", "_")]
 
     collect(schemas.LEGACY_EVENT)
-    return table(spark, sf_dir, "orders").select(*_nested(schemas.LEGACY_EVENT, by_path))
+    return at_least_parallel(table(spark, sf_dir, "orders")).select(*_nested(schemas.LEGACY_EVENT, by_path))
 
 
 # --- the SQL side: common table expressions -------------------------------------------
