@@ -16,6 +16,7 @@ def spark():
         master="local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__sql__maxMetadataStringLength="2000",
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="run-warehouse-"),
         spark__sql__catalogImplementation="in-memory",

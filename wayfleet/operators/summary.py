@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def distribution(df: DataFrame, by: Sequence[str], count_name: str = "n") -> DataFrame:
@@ -12,13 +12,18 @@ def distribution(df: DataFrame, by: Sequence[str], count_name: str = "n") -> Dat
 
 
 def with_share(counted: DataFrame, count_name: str, share_name: str = "percentage",
-               digits: int | None = 2) -> DataFrame:
+               digits: int | None = 2, few_groups: bool = False) -> DataFrame:
     """Each row's part of the overall count, in percent.
 
     The total comes from a one-row subquery: a window over everything would pull
-    all groups into one task.
+    all groups into one task. ``few_groups`` promises a closed set of labels (a handful
+    of rows after grouping); the window is then harmless and saves computing
+    ``counted`` a second time.
     """
-    total = counted.agg(F.sum(count_name)).scalar()
+    if few_groups:
+        total = F.sum(count_name).over(Window.partitionBy())
+    else:
+        total = counted.agg(F.sum(count_name)).scalar()
     share = F.try_divide(F.col(count_name) * F.lit(100.0), total)
     return counted.withColumn(share_name, share if digits is None else F.round(share, digits))
 

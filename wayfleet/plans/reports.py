@@ -41,7 +41,8 @@ def insurance_distribution(state: DataFrame) -> DataFrame:
         F.avg(expired_days).alias("avg_days_expired"),
         F.max(expired_days).alias("max_days_expired"),
     )
-    shared = with_share(counted, "vehicle_count", "percentage")
+    # Three labels exist, so at most a handful of rows is left here.
+    shared = with_share(counted, "vehicle_count", "percentage", few_groups=True)
     return shared.orderBy(custom_order(F.col("insurance_status"), _STATUS_ORDER))
 
 

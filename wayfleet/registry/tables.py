@@ -343,13 +343,13 @@ def stamped_total(spark, d):
     return with_group_count(table(spark, d, "supplier").select("s_suppkey"), "total")
 
 
-@query("daily_trend", f"""SELECT CAST(ts AS DATE) AS event_date, {rounded('avg(value)', 4)} AS mean_value,
-    {rounded('stddev_samp(value)', 4)} AS deviation, min(value) AS lowest, max(value) AS highest, count(*) AS readings,
+@query("daily_trend", f"""SELECT CAST(ts AS DATE) AS event_date, {rounded('avg(value)', 9)} AS mean_value,
+    {rounded('stddev_samp(value)', 9)} AS deviation, min(value) AS lowest, max(value) AS highest, count(*) AS readings,
     count(DISTINCT user_id) AS users FROM events GROUP BY CAST(ts AS DATE)""")
 def daily_trend(spark, d):
     return daily(_events(spark, d), "ts", {
-        "mean_value": F.round(F.avg("value"), 4),
-        "deviation": F.round(F.stddev_samp("value"), 4),
+        "mean_value": F.round(F.avg("value"), 9),
+        "deviation": F.round(F.stddev_samp("value"), 9),
         "lowest": F.min("value"),
         "highest": F.max("value"),
         "readings": F.count("*"),
