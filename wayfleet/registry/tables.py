@@ -104,13 +104,16 @@ _BY_SUPPLIER = """SELECT l_suppkey, strftime(l_shipdate, '%Y') AS event_year, st
 
 
 def _supplier_months(lines: DataFrame) -> DataFrame:
-    parts = date_parts(F.col("l_shipdate"), "event")
+    """Totals per supplier and month; the month is spelled out once per group, not per row."""
     usable = monthly.usable(lines, ["l_suppkey", "l_shipdate"], ["l_extendedprice", "l_quantity"])
-    dated = usable.select("l_suppkey", parts["event_year"].alias("event_year"), parts["event_month"].alias("event_month"),
-                          F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
-                          F.col("l_quantity").cast("decimal(18,2)").alias("quantity"))
-    return monthly.totals(dated, ["l_suppkey", "event_year", "event_month"],
-                          {"total_price": "price", "total_quantity": "quantity", "lines": F.lit(1)})
+    rows = usable.select("l_suppkey", F.date_trunc("month", "l_shipdate").alias("month"),
+                         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+                         F.col("l_quantity").cast("decimal(18,2)").alias("quantity"))
+    summed = monthly.totals(rows, ["l_suppkey", "month"],
+                            {"total_price": "price", "total_quantity": "quantity", "lines": F.lit(1)})
+    parts = date_parts(F.col("month"), "event")
+    named = {n: parts[n] for n in ("event_year", "event_month")}
+    return summed.withColumns(named).drop("month")
 
 
 def _with_ratio(totals: DataFrame) -> DataFrame:
@@ -280,7 +283,7 @@ def _supplier_means(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("rank_efficiency", f"""WITH {_SUPPLIER_MEANS} SELECT * FROM (
-    SELECT *, rank() OVER (ORDER BY mean_quantity DESC NULLS LAST) AS rank FROM means) WHERE rank <= 10""")
+    SELECT *, CAST(rank() OVER (ORDER BY mean_quantity DESC NULLS LAST) AS INT) AS rank FROM means) WHERE rank <= 10""")
 def rank_efficiency(spark, d):
     return top_ranks(_supplier_means(spark, d), "mean_quantity", 10)
 
@@ -291,7 +294,7 @@ def rank_all_rows(spark, d):
     return rank_all(lines, "l_extendedprice").drop("l_extendedprice")
 
 
-@query("rank_in_segment", """SELECT c_custkey, c_mktsegment, rank() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC NULLS LAST) AS rank FROM customer""")
+@query("rank_in_segment", """SELECT c_custkey, c_mktsegment, CAST(rank() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC NULLS LAST) AS INT) AS rank FROM customer""")
 def rank_in_segment(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     return rank_within(rows, ["c_mktsegment"], "c_acctbal").drop("c_acctbal")
