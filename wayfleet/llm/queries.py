@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, mixing, warc
+from wayfleet.llm import chat, mixing, warc, winnowing
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -134,3 +134,34 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op9_decontaminate", sql=r"""
+WITH w AS (
+  SELECT doc_id, rid, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM (SELECT *, row_number() OVER () AS rid FROM documents)
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[p:p + size - 1], ' ') AS win
+  FROM (SELECT item_id, words, least(len(words), 10) AS size, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS p
+        FROM i WHERE len(words) > 0)
+), dw AS (
+  SELECT rid, s.size, p, array_to_string(words[p:p + s.size - 1], ' ') AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) + 1)) AS p FROM w) JOIN (SELECT DISTINCT size FROM iw) s ON p + s.size - 1 <= len(words)
+), h AS (
+  SELECT rid, dw.p, dw.size, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.size = iw.size
+), c AS (
+  SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + size)) AS q FROM h) GROUP BY rid
+), n AS (
+  SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM h) GROUP BY rid
+)
+SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN c USING (rid) LEFT JOIN n USING (rid)""")
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
