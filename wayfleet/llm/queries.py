@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, mixing, warc, winnowing
+from wayfleet.llm import chat, lengths, licenses, mixing, warc, winnowing
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -165,3 +165,15 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op5_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact histogram of token lengths over all documents with its sums."""
+    return lengths.length_histogram(lengths.token_lengths(table(spark, sf_dir, "documents")))
+
+
+@query("op7_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
