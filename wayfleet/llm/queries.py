@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, lengths, licenses, mixing, warc, winnowing
+from wayfleet.llm import chat, lengths, licenses, mixing, simhash, warc, winnowing
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -177,3 +177,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses in every document."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op8_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexed(F.col("print")).alias("fingerprint"), "component_id")
