@@ -62,10 +62,9 @@ def length_histogram(lengths: DataFrame, per_block: int = LENGTHS_PER_BLOCK) ->
     """
     exact = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
     exact = settle(exact.select(F.col("n_tokens").alias("length"), "n_docs", F.floor(F.col("n_tokens") / per_block).alias("block")), "lengths")
-    total = exact.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("all_docs"), F.coalesce(F.sum(F.col("n_docs") * F.col("length")), F.lit(0)).alias("all_tokens"))
+    total = exact.agg(F.struct(F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("length")).alias("tokens"))).scalar()
     summed = prefix_sums(exact.withColumn("every", F.lit(1)), ["every"], "block", [F.col("length")], {"docs_upto": F.col("n_docs"), "tokens_upto": F.col("n_docs") * F.col("length")})
-    # One row of totals.
-    whole = summed.join(F.broadcast(total), F.lit(True))
+    whole = summed.withColumn("all", total).select("*", F.col("all")["docs"].alias("all_docs"), F.col("all")["tokens"].alias("all_tokens"))
     longer = F.col("all_docs") - F.col("docs_upto")
     return whole.select(
         "length", "n_docs", F.col("docs_upto").cast("long").alias("docs_upto"), F.col("tokens_upto").cast("long").alias("tokens_upto"),

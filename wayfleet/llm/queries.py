@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, lengths, licenses, mixing, simhash, warc, winnowing
+from wayfleet.llm import chat, language, lengths, licenses, mixing, outliers, simhash, warc, winnowing
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -184,3 +184,24 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexed(F.col("print")).alias("fingerprint"), "component_id")
+
+
+@query("op10_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return outliers.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def _remainder(parts: int):
+    """The fold of a document: crc32 of its id as text; null ids are in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts, F.lit(0))
+
+
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from two folds of three."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = _remainder(3) == 1
+    found = language.identify(documents, language.train(documents, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
