@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, language, lengths, licenses, mixing, outliers, simhash, warc, winnowing
+from wayfleet.llm import chat, language, lengths, licenses, mixing, outliers, simhash, toxicity, warc, winnowing
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -205,3 +205,12 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _remainder(3) == 1
     found = language.identify(documents, language.train(documents, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op1_toxicity")
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of one fold of five are never read."""
+    held_out = _remainder(5) == 0
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "posterior")
