@@ -277,9 +277,9 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, chunk:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(doc_id, row_key, print, component_id) for every document.
+    """(doc_id, row_key, print, root, component_id) for every document.
 
-    Equal fingerprints are one node, however many documents have them.  ``component_id`` is the smallest doc_id
+    ``root`` is a fingerprint that names the group.  Equal fingerprints are one node, however many documents have them.  ``component_id`` is the smallest doc_id
     among the documents that chains of links reach; null if none of them has an id.  Texts without words have
     fingerprint 0 and link like any other.  Fewer words than a shingle are hashed as one.  Repeated rows
     repeat their result; an empty table gives an empty one; other columns are ignored.
@@ -289,8 +289,17 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     roots = connected(links(distinct.select("print"), radius, blocks))
     rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(least, "root").select("print", "component_id")
-    return printed.join(known, "print").select("doc_id", "row_key", "print", "component_id")
+    known = rooted.join(least, "root").select("print", "root", "component_id")
+    return printed.join(known, "print").select("doc_id", "row_key", "print", "root", "component_id")
+
+
+def one_of_each(documents: DataFrame, **options) -> DataFrame:
+    """One document of every group, as it was: that with the smallest id (ids before nulls), of equal rows one."""
+    found = near_duplicates(documents, **options)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
+    keys = first.select(F.col("first.row_key").alias("__key"))
+    keyed = documents.withColumn("__row", row_digest(F.col("doc_id"), F.col("text")))
+    return keyed.join(keys, F.col("__row") == F.col("__key"), "left_semi").dropDuplicates(["__row"]).drop("__row")
 
 
 def hexed(fingerprint: Column) -> Column:
