@@ -53,7 +53,7 @@ def shape(record: Column) -> Column:
     Text that is no JSON gives null.
     """
     kind = F.schema_of_variant(F.try_parse_json(record))
-    return F.regexp_replace(kind, rf"\b({_TYPE})\b(?=[,>]|$)", "_")
+    return F.regexp_replace(kind, rf"\b({_TYPE})(?=[,>]|$)", "_")
 
 
 def fingerprint(record: Column) -> Column:

@@ -60,10 +60,11 @@ def codewords(languages: list[str], bits: int) -> np.ndarray:
 def _grams(data: np.ndarray, offsets: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all n-grams of some rows, with a gap before and after each row, and where each row's n-grams begin.  Slot 0 stands for none."""
     rows = len(offsets) - 1
-    padded = np.full(len(data) + rows + 1, 32, np.uint8)
+    padded = np.full(len(data) + rows + _NGRAM, 32, np.uint8)
     gaps = offsets + np.arange(rows + 1)
     inside = np.ones(len(padded), bool)
     inside[gaps] = False
+    inside[gaps[-1] :] = False
     padded[inside] = _LETTER[data]
     n = len(padded) - _NGRAM + 1
     code = np.zeros(n, np.uint64)
@@ -91,12 +92,8 @@ def _sums(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[n
     out, counts = np.zeros((len(offsets) - 1, weights.shape[1])), np.zeros(len(offsets) - 1)
     for a, b in steps(cuts, _PIECE):
         slot, begins = _grams(data[cuts[a] : cuts[b]], cuts[a : b + 1] - cuts[a], len(weights))
-        begins = np.minimum(begins, len(slot))
-        taken = np.vstack([weights[slot], np.zeros((1, weights.shape[1]), weights.dtype)])
-        # A row too short for an n-gram begins where the next one does; its sum is taken as 0.
-        some = np.diff(np.append(begins, len(slot))) > 0
-        np.add.at(out, row[a:b], np.add.reduceat(taken, begins, axis=0, dtype=np.float64) * some[:, None])
-        np.add.at(counts, row[a:b], np.add.reduceat(np.append(slot > 0, False), begins, dtype=np.int64) * some)
+        np.add.at(out, row[a:b], np.add.reduceat(weights[slot], begins, axis=0, dtype=np.float64))
+        np.add.at(counts, row[a:b], np.add.reduceat(slot > 0, begins, dtype=np.int64))
     return out, counts
 
 

@@ -204,7 +204,7 @@ def _fit_tree(total: np.ndarray) -> LabelModel:
     """M-step: the tree of strongest conditional mutual information, and its tables.  ``total[y, v, u]`` counts joint votes; place 0 stands for all."""
     v = total.shape[1] - 1
     weight = total[:, 0, 0]
-    prior = float(np.clip(weight[1] / weight.sum(), 1e-3, 1 - 1e-3))
+    prior = float(np.clip(weight[1] / max(weight.sum(), 1.0), 1e-3, 1 - 1e-3))
     one = total[:, 0, 1:]
     gain = np.zeros((v, v))
     for y in (0, 1):
