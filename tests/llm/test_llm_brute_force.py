@@ -68,13 +68,47 @@ def test_links_with_balls_and_cut_nodes(spark, seed, chunk):
             step ^= sum(1 << b for b in draw.sample(range(64), 4))
             prints.add(step)
     prints |= {draw.getrandbits(64) for _ in range(100)} | {0, (1 << 64) - 1, 1 << 63}
-    frame = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in prints], "print long")
+    frame = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in prints], "id long").withColumn("prints", F.array("id"))
     roots = {r.node: r.root for r in components.connected(simhash.links(frame, chunk=chunk)).collect()}
     signed = sorted(x - (1 << 64) if x >> 63 else x for x in prints)
     want = groups(signed, lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4)
     assert {n: roots.get(n, n) for n in signed} == want
 
 
+@pytest.mark.parametrize("chunk", [2048, 7])
+def test_links_over_several_tables(spark, chunk):
+    """A pair counts if the first fingerprint is near, or another one is and all others together are."""
+    draw = random.Random(9)
+    tables = simhash.Tables(count=3, alone=1, total=12)
+    base = [[draw.getrandbits(64) for _ in range(3)] for _ in range(6)]
+    flip = lambda x, n: x ^ sum(1 << b for b in draw.sample(range(64), n))
+    nodes = [tuple(flip(x, draw.randint(0, 7)) for x in draw.choice(base)) for _ in range(150)]
+    signed = [[x - (1 << 64) if x >> 63 else x for x in n] for n in nodes]
+    frame = spark.createDataFrame(list(enumerate(signed)), "id long, prints array<long>")
+    roots = {r.node: r.root for r in components.connected(simhash.links(frame, tables, chunk)).collect()}
+
+    def linked(a, b):
+        apart = [(x ^ y).bit_count() for x, y in zip(nodes[a], nodes[b])]
+        return apart[0] <= 4 or min(apart[1:]) <= 4 and sum(apart[1:]) <= 12
+
+    assert {n: roots.get(n, n) for n in range(len(nodes))} == groups(list(range(len(nodes))), linked)
+
+
+def test_stage_finds_near_copies_and_leaves_the_rest(spark):
+    """Copies with one word in 60 changed join their source; unrelated texts of the same vocabulary stay."""
+    draw = random.Random(4)
+    vocabulary = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9))) for _ in range(900)]
+    sources = [[draw.choice(vocabulary[:40] if draw.random() < 0.4 else vocabulary) for _ in range(240)] for _ in range(25)]
+    rows = [(n, " ".join(w)) for n, w in enumerate(sources)]
+    for n, words in enumerate(sources[:20]):
+        copy = list(words)
+        for at in draw.sample(range(240), 4):
+            copy[at] = draw.choice(vocabulary)
+        rows.append((100 + n, " ".join(copy)))
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept >= set(range(25)) and len(kept - set(range(25))) <= 1
+
+
 def test_search_equals_all_pairs():
     draw = np.random.default_rng(5)
     for n, m in ((1, 1), (3, 700), (500, 40), (300, 300)):
