@@ -16,7 +16,7 @@ from wayfleet.llm.common import WHITE_WORD, prefix_sums, settle
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-ROWS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 2_000
 
 
 def size_in_words(text: Column) -> Column:
