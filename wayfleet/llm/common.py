@@ -41,6 +41,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def hash_share(value: Column) -> Column:
+    """A number from 0 up to 1 that a hash of the value fixes: keeping rows below a share draws the same sample on every run."""
+    return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
 def row_digest(*columns: Column) -> Column:
     """A 128-bit key of a row's values that tells null from empty, so that equal rows, and only those, share it."""
     parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]

@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.common import STEP_BYTES, bounded_batches, flat, steps
+from wayfleet.llm.common import STEP_BYTES, bounded_batches, flat, hash_share, steps
 from wayfleet.llm.words import LOWER
 
 UNDETERMINED = "und"
@@ -26,7 +26,7 @@ UNDETERMINED = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled documents per language to learn from, at most, chosen by a hash of their ids.  ``slots``: hashed n-grams, a power of 2.
+    """``sample``: labelled documents per language to learn from, on average, chosen by a hash of their ids; all if there are fewer.  ``slots``: hashed n-grams, a power of 2.
     ``code_bits``: length of codewords where not all divisions of the languages fit.  ``margin``: a lead in loss below which an answer is ambiguous."""
 
     sample: int = 4000
@@ -136,14 +136,17 @@ class Model:
 
 
 def _training_rows(documents: DataFrame, learn: Column, settings: Settings) -> DataFrame:
-    """Text and language of the sample: of each language the documents with the least hashes; each task keeps that many at most."""
-    order = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    ids = documents.where(learn & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"))
-    chosen = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.sample)
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    # Bounded by the sample size, so small enough to send to every task.
-    rows = documents.select("doc_id", "lang", "text").where(learn & F.col("lang").isNotNull())
-    return rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select(F.col("_lang").alias("lang"), "text")
+    """Text and language of the sample: of each language the share of documents, by a hash of the id, that gives ``sample`` of them on average.
+
+    Documents are counted by language first; the counts, a row per language, come to the driver and become limits in one
+    filter, so neither texts nor ids are shuffled.
+    """
+    rows = documents.where(learn & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return rows.limit(0).select("lang", "text")
+    limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, settings.sample / n))])
+    return rows.where(F.coalesce(hash_share(F.col("doc_id")), F.lit(0.0)) < limits[F.col("lang")]).select("lang", "text")
 
 
 def train(documents: DataFrame, learn: Column, settings: Settings = Settings()) -> Model | None:
