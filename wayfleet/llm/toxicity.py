@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.common import bounded_batches, row_digest, settle
+from wayfleet.llm.common import bounded_batches, hash_share, row_digest, settle
 
 # Insulting, hateful, threatening and vulgar words by language, written by hand.
 LEXICONS = {
@@ -48,7 +48,7 @@ WORD = r"[^\W\d_]+"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: labelled documents to mine words from and to train on, at most, chosen by a hash of their ids; the rest of the corpus still
+    """``sample``: labelled documents to mine words from and to train on, on average, chosen by a hash of their ids; the rest of the corpus still
     counts for the label model.  ``words``: mined features kept, at most.  ``mined_voters``: lexicons the mined words are dealt to.
     ``stems``: lengths of word beginnings that are mined beside whole words.  ``least_docs``: toxic documents a mined word must be in.
     ``rounds``: steps of expectation-maximisation.  ``trust``: probability that a known label is right."""
@@ -66,8 +66,9 @@ class Settings:
 def _training_ids(labels: DataFrame, learn: Column, settings: Settings) -> DataFrame:
     """(doc_id, toxic) of the sample; ids with contradicting labels count as toxic."""
     known = labels.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
-    return known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(settings.sample)
+    known = known.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    share = min(1.0, settings.sample / max(1, known.count()))
+    return known.where(hash_share(F.col("doc_id")) < share)
 
 
 def _mine(sample: DataFrame, settings: Settings) -> list[tuple[str, float]]:
