@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from wayfleet import schemas
 from wayfleet.functions import alerts
 from wayfleet.operators import flatten, monthly, quality
 from wayfleet.operators.latest import duplicate_keys, latest_per_key, reduction_stats
+from wayfleet.operators.ordered import quantiles
 from wayfleet.operators.ranking import rank_all, rank_within, top_ranks
 from wayfleet.operators.reconcile import reconcile, reconcile_summary
 from wayfleet.operators.sections import custom_order, section, stack
@@ -92,9 +94,7 @@ def test_upserts(spark):
     batch = spark.createDataFrame([("v", "29", 8500), ("w", "29", 2)], "k string, d string, m int")
     merged = upsert_latest(batch, stored, ["k", "d"], ["m"])
     assert {tuple(r) for r in merged.collect()} == {("v", "29", 8500, None), ("v", "28", 1, "s"), ("w", "29", 2, None)}
-    for limit in (10, 0):  # listed partitions, and the join beyond the limit
-        near = within_partitions(stored, batch, ["d"], limit)
-        assert [r.m for r in near.collect()] == [4321]
+    assert [r.m for r in within_partitions(stored, batch, ["d"]).collect()] == [4321]
     fresh = not_yet_stored(batch, by_name(stored, stored), ["k"])
     assert [tuple(r) for r in fresh.collect()] == [("w", "29", 2)]
 
@@ -136,7 +136,7 @@ def test_ranks_match_brute_force(spark):
             return 1 + sum(x is not None for x in values)
         return 1 + sum(x is not None and x > v for x in values)
 
-    assert {(r.id, r["rank"]) for r in rank_all(df, "v", slices=8).collect()} == {(i, rank(v)) for i, v in enumerate(values)}
+    assert {(r.id, r["rank"]) for r in rank_all(df, "v").collect()} == {(i, rank(v)) for i, v in enumerate(values)}
     for k in (1, 5, 60, 1000):
         got = {(r.id, r["rank"]) for r in top_ranks(df, "v", k).collect()}
         assert got == {(i, rank(v)) for i, v in enumerate(values) if rank(v) <= k}
@@ -208,3 +208,47 @@ def test_legacy_silver(spark):
     assert flat["C3"].event_year is None and flat["C3"].insurance_days_expired == 5
     none = legacy_silver(frame(spark, rows[1:2], schemas.LEGACY_EVENT), "2025-11-06", empty_efficiency=None).first()
     assert none.metrics_trip_km_per_liter is None
+
+
+def test_exact_quantiles_at_any_slicing(spark):
+    """Exact whatever the number of slices, with ties, a hot value, NULLs and a NULL group."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, rng.randint(0, 500), 7])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for slices in ("2", "5", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", slices)
+        try:
+            got = {r.k: (r.q, r.m) for r in quantiles(df, "v", {"q": 0.25, "m": 0.5}, ["k"]).collect()}
+            whole = quantiles(df, "v", {"q": 0.25, "m": 0.5}).first()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+        def exact(values, p):
+            values = sorted(v for v in values if v is not None)
+            return values[math.ceil(p * len(values)) - 1]
+
+        assert got == {k: tuple(exact([v for key, v in rows if key == k], p) for p in (0.25, 0.5)) for k in ("a", "b", None)}
+        assert tuple(whole) == tuple(exact([v for _, v in rows], p) for p in (0.25, 0.5))
+
+
+def test_ranks_within_hot_groups_need_no_window_over_a_group(spark):
+    rows = [("hot", n % 90) for n in range(3000)] + [("cold", 1), (None, None), (None, 4)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(4)
+    ranked = rank_within(df, ["k"], "v")
+    got = {(r.k, r.v): r["rank"] for r in ranked.collect()}
+    assert ranked.count() == len(rows)
+    for (k, v), place in got.items():
+        mine = [x for key, x in rows if key == k]
+        assert place == 1 + sum(x is not None and (v is None or x > v) for x in mine)
+    # Running counts order values inside (group, slice); only one row per slice is ordered over a whole group.
+    windows = [line for line in ranked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line]
+    assert windows and all("_slice" in line for line in windows)
+
+
+def test_reconcile_sees_every_copy(spark):
+    left = spark.createDataFrame([(1, 0), (1, 5), (1, 9), (2, 1), (2, 1), (3, 4)], "k int, v int")
+    right = spark.createDataFrame([(1, 0), (1, 6), (1, 9), (2, 1), (3, 4), (4, 4)], "k int, v int")
+    # Whatever the digests' order, a differing copy between equal ones shows.
+    verdicts = {r.k: r.verdict for r in reconcile(left, right, "k", ["v"]).collect()}
+    assert verdicts == {1: "changed", 2: "matched", 3: "matched", 4: "missing_left"}

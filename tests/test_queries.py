@@ -5,11 +5,11 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__ as entry  # noqa: F401  fills the registry
 from check import rows_of
+from wayfleet.registry.base import RUNS, SQL
 
 SF = "/root/testdata/sf0.001"
-RUNS, SQL = entry.queries(), entry.oracle_sql()
 # Covered by test_flow and test_storage; too slow to repeat for every test run.
 SLOW = {"landing_to_products", "catalog_roundtrip", "stream_alert_log", "stream_fuel_monthly", "fuel_batches_roundtrip",
         "compaction_roundtrip", "publish_roundtrip", "json_array_scan", "load_audit"}

@@ -7,7 +7,7 @@ from samples import FOREIGN, event, scenarios
 
 from wayfleet import schemas
 from wayfleet.operators import monthly
-from wayfleet.plans.bronze import require
+from wayfleet.plans.bronze import load_audit, require, to_bronze
 from wayfleet.sinks import batches, files, snapshots
 from wayfleet.sources import landing, tables
 
@@ -139,6 +139,49 @@ def test_landing_shapes(spark, tmp_path):
     assert documents.filter("event_id IS NOT NULL").count() == 4
 
 
+def test_landing_loses_nothing(spark, tmp_path):
+    """Broken lines in first, middle and last place, two objects on a line, a pretty-printed pair: each in one file of either shape."""
+    good = [json.dumps(event(f"g{i}")) for i in range(4)]
+    texts = {
+        "first.json": ["broken", *good[:2]], "middle.json": [good[0], "broken", good[1], good[2]], "last.json": [good[0], good[1], "{"],
+        "twice.json": [f"{good[0]} {good[1]}", good[2]], "bracket.json": [good[0] + "] {}", good[1]], "brace.json": [good[0] + "} {}", good[1]],
+    }
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    for shape in (landing.DOCUMENTS, landing.LINES):
+        parsed = landing.parse_landing(landing.landing_text(spark, str(tmp_path), shape=shape), schemas.EVENT)
+        ids = [r.event_id for r in landing.accepted(parsed).collect()]
+        refused = sorted((os.path.basename(r.source_file), r.reject_reason) for r in landing.rejected(parsed).collect())
+        assert sorted(ids) == sorted(["g0", "g1"] + ["g0", "g1", "g2"] + ["g0", "g1"] + ["g2"] + ["g1"] * 2)
+        assert refused == [("brace.json", "trailing_content"), ("bracket.json", "trailing_content"), ("first.json", "not_json"),
+                           ("last.json", "not_json"), ("middle.json", "not_json"), ("twice.json", "trailing_content")]
+        assert len(ids) + len(refused) == sum(map(len, texts.values()))
+        audit = {os.path.basename(r.source_file): (r.rows_loaded, r.rows_rejected, r.status) for r in load_audit(parsed).collect()}
+        assert audit["middle.json"] == (3, 1, "partial") and audit["twice.json"] == (1, 1, "partial")
+    pair = tmp_path / "pair"
+    pair.mkdir()
+    (pair / "pair.json").write_text(json.dumps(event("p"), indent=2) + "\n" + json.dumps(event("q"), indent=2))
+    parsed = landing.parse_landing(landing.landing_text(spark, str(pair)), schemas.EVENT)
+    assert [r.reject_reason for r in landing.rejected(parsed).collect()] == ["trailing_content"] and landing.accepted(parsed).count() == 0
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("B,n,a\nB1,1,A1\nB2,x,A2\nB3,3\n")
+    wanted = "a string, b string, n int, absent double"
+    schema = spark.createDataFrame([], wanted).schema
+    assert [tuple(r) for r in landing.csv_rows(spark, str(tmp_path), schema).collect()] == [("A1", "B1", 1, None)]
+    refused = landing.rejected(landing.parse_csv(spark, str(tmp_path), schema)).collect()
+    assert sorted((r.reject_reason, r.raw) for r in refused) == [("bad_value", "B2,x,A2"), ("malformed_row", "B3,3")]
+
+
+def test_bronze_of_a_retried_batch_lands_on_the_same_day(spark, tmp_path):
+    (tmp_path / "e.json").write_text(json.dumps(event("e")))
+    os.utime(tmp_path / "e.json", (1_700_000_000, 1_700_000_000))
+    parsed = landing.parse_landing(landing.landing_text(spark, str(tmp_path)), schemas.EVENT)
+    row = to_bronze(landing.accepted(parsed)).first()
+    assert (row.ingest_year, row.ingest_month, row.ingest_day) == ("2023", "11", "14")
+
+
 def test_readers(spark, tmp_path):
     flat = spark.createDataFrame([(1, "a")], "n int, s string")
     base = str(tmp_path / "mixed")

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from wayfleet.operators.ordered import quantiles
+
 # Weights and the score under which a dataset is refused.
 START, ERROR_COST, WARNING_COST, PASS_MARK = 100, 20, 5, 70
 
@@ -112,21 +114,21 @@ def row_score(df: DataFrame, checks: Checks, name: str = "data_quality_score") -
     return df.withColumn(name, score_from(errors, warnings))
 
 
-def unusual(df: DataFrame, measure: str, reach: float = 1.5, accuracy: int = 10000) -> DataFrame:
-    """Flag values further than ``reach`` interquartile ranges outside the quartiles."""
-    quartiles = df.agg(F.percentile_approx(measure, [0.25, 0.75], accuracy)).scalar()
-    low, high = quartiles[0], quartiles[1]
+def unusual(df: DataFrame, measure: str, reach: float = 1.5) -> DataFrame:
+    """Flag values further than ``reach`` interquartile ranges outside the exact quartiles."""
+    found = quantiles(df, measure, {"low": 0.25, "high": 0.75})
+    quartiles = found.select(F.struct("low", "high")).scalar()
+    low, high = quartiles["low"], quartiles["high"]
     margin = (high - low) * reach
     flag = (F.col(measure) < low - margin) | (F.col(measure) > high + margin)
     return df.withColumn("is_outlier", F.coalesce(flag, F.lit(False)))
 
 
-def fill_with_median(df: DataFrame, measure: str, by: str, accuracy: int = 10000) -> DataFrame:
-    """Replace missing values by the median of their group.
+def fill_with_median(df: DataFrame, measure: str, by: str) -> DataFrame:
+    """Replace missing values by the exact median of their group.
 
-    Medians are aggregated map-side and joined back; Spark broadcasts them only
-    if they turn out small, and splits a dominant group otherwise.
+    Medians are joined back; Spark broadcasts them only if they turn out small, and splits a dominant group otherwise.
     """
-    medians = df.groupBy(by).agg(F.percentile_approx(measure, 0.5, accuracy).alias("_median"))
+    medians = quantiles(df, measure, {"_median": 0.5}, [by])
     joined = df.join(medians, by, "left")
     return joined.withColumn(measure, F.coalesce(F.col(measure), F.col("_median"))).drop("_median")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from wayfleet.operators.ordered import positions
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -33,47 +35,23 @@ def top_ranks(df: DataFrame, measure: str, k: int, name: str = "rank") -> DataFr
     return df.withColumn("_best", best).filter(kept).withColumn(name, ahead + 1).drop("_best")
 
 
-def _slice_of(value: Column, cuts: list, first: int = 0) -> Column:
-    """Index of the slice ``value`` falls in, by bisection over descending ``cuts``."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(value < F.lit(cuts[middle]), _slice_of(value, cuts[middle + 1:], first + middle + 1)).otherwise(
-        _slice_of(value, cuts[:middle], first)
-    )
+def rank_all(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:
+    """RANK() of every row by descending ``measure`` (NULLs last) over the whole frame."""
+    return rank_within(df, [], measure, name)
 
 
-def rank_all(df: DataFrame, measure: str, name: str = "rank", slices: int = 128) -> DataFrame:
-    """RANK() of every row by descending ``measure`` (NULLs last) over the whole frame.
+def rank_within(df: DataFrame, keys: Sequence[str], measure: str, name: str = "rank") -> DataFrame:
+    """RANK() by descending ``measure`` (NULLs last) inside each group of ``keys``, or over everything.
 
-    Distinct values with their counts are cut into ordered slices at approximate
-    quantiles; counts run up inside each slice and the slice totals (at most
-    ``slices`` + 2 rows) supply the offsets. The cuts only steer the balance, the
-    ranks are exact. Reads ``df`` twice, and once more to find the cuts.
+    Distinct values are ranked by exact running counts in slices; rows get their rank by a join on the value,
+    which Spark splits if very many rows share one. No task sorts a whole group, and nothing runs while the plan is built.
     """
-    values = df.groupBy(F.col(measure).alias("_v")).agg(F.count("*").alias("_n"))
-    quantiles = [i / slices for i in range(1, slices)]
-    cuts = values.agg(F.percentile_approx("_v", quantiles, slices * 50)).first()[0] or []
-    cuts = sorted(set(cuts), reverse=True)
-    # Slice 0 holds the largest values; NULLs get the slice after the last.
-    place = _slice_of(F.col("_v"), cuts)
-    sliced = values.withColumn("_slice", F.when(F.col("_v").isNull(), len(cuts) + 1).otherwise(place))
-
-    inside = Window.partitionBy("_slice").orderBy(F.col("_v").desc_nulls_last())
-    counted = sliced.withColumn(
-        "_before", F.coalesce(F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = positions(df, measure, keys, descending=True)
+    ranks = placed.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_value",
+        (F.col("_upto") - F.col("_copies") + 1).cast("int" if keys else "bigint").alias(name),
     )
-    # One row per slice, so the global window below sees at most slices + 2 rows.
-    per_slice = sliced.groupBy("_slice").agg(F.sum("_n").alias("_total"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select("_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    ranks = counted.join(F.broadcast(offsets), "_slice").select(
-        "_v", (F.col("_offset") + F.col("_before") + 1).alias(name)
-    )
-    return df.join(ranks, df[measure].eqNullSafe(ranks["_v"])).drop("_v")
-
-
-def rank_within(df: DataFrame, keys: Sequence[str], measure: str, name: str = "rank") -> DataFrame:
-    """RANK() by descending ``measure`` inside each group of ``keys``."""
-    window = Window.partitionBy(*keys).orderBy(F.col(measure).desc_nulls_last())
-    return df.withColumn(name, F.rank().over(window))
+    same = F.col(measure).eqNullSafe(F.col("_value"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(ranks, same).drop("_value", *[f"_k{i}" for i in range(len(keys))])

@@ -12,20 +12,22 @@ from wayfleet.operators.latest import content_hash
 def reconcile(left: DataFrame, right: DataFrame, key: str, compare: Sequence[str]) -> DataFrame:
     """Per key: copies on each side and whether it is matched, changed or missing.
 
-    Each side shrinks to one row per key before the join, so repeated keys neither
-    multiply nor skew it, and the join reuses the partitioning of the aggregation.
+    Matched means that both sides hold the same set of contents, however often each. Each side shrinks to one
+    row per (key, content) and then to one per key, so repeated keys neither multiply nor skew the
+    join. Sets are compared by their size, the exact sum of their digests and the exclusive or of them.
     """
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        digest = content_hash(df, list(compare))
-        return df.groupBy(key).agg(
-            F.count("*").alias(f"{prefix}_copies"),
-            F.min(digest).alias(f"_{prefix}_low"),
-            F.max(digest).alias(f"_{prefix}_high"),
+        contents = df.groupBy(key, content_hash(df, list(compare)).alias("_digest")).agg(F.count("*").alias("_rows"))
+        return contents.groupBy(key).agg(
+            F.sum("_rows").alias(f"{prefix}_copies"),
+            F.struct(
+                F.count("*").alias("n"), F.sum(F.col("_digest").cast("decimal(19,0)")).alias("total"),
+                F.bit_xor("_digest").alias("odd")).alias(f"_{prefix}"),
         )
 
     both = side(left, "left").join(side(right, "right"), key, "full_outer")
-    same = (F.col("_left_low") == F.col("_right_low")) & (F.col("_left_high") == F.col("_right_high"))
+    same = F.col("_left") == F.col("_right")
     verdict = (
         F.when(F.col("right_copies").isNull(), F.lit("missing_right"))
         .when(F.col("left_copies").isNull(), F.lit("missing_left"))

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfleet.operators.latest import latest_per_key
 
-# A batch that touches more partitions than this is joined instead of listed.
-LISTED_PARTITIONS = 2000
-
-
 def by_name(*frames: DataFrame) -> DataFrame:
     """UNION ALL on column names; a column missing on one side is NULL there."""
     result = frames[0]
@@ -24,32 +20,13 @@ def touched_partitions(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.select(*parts).distinct()
 
 
-def within_partitions(stored: DataFrame, batch: DataFrame, parts: Sequence[str],
-                      limit: int = LISTED_PARTITIONS) -> DataFrame:
+def within_partitions(stored: DataFrame, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
     """Rows of ``stored`` that live in partitions ``batch`` writes to.
 
-    Up to ``limit`` partitions are written into the plan as literals, which prunes
-    directories while planning. A wider batch falls back to a semi-join.
+    A semi-join on the partition columns; Spark prunes directories at run time from the
+    batch's distinct partitions (dynamic partition pruning), however many there are.
     """
-    wanted = touched_partitions(batch, parts)
-    listed = wanted.limit(limit + 1).collect()
-    if len(listed) > limit:
-        return stored.join(wanted, list(parts), "left_semi")
-    return stored.filter(partition_filter([row.asDict() for row in listed], parts))
-
-
-def partition_filter(values: Sequence[dict], parts: Sequence[str]) -> Column:
-    """Literal predicate for a bounded list of partitions, grouped on the first column."""
-    if not values:
-        return F.lit(False)
-    head, rest = parts[0], list(parts[1:])
-    if not rest:
-        return F.col(head).isin([v[head] for v in values])
-    condition = F.lit(False)
-    for value in sorted({v[head] for v in values if v[head] is not None}):
-        inner = [v for v in values if v[head] == value]
-        condition = condition | ((F.col(head) == F.lit(value)) & partition_filter(inner, rest))
-    return condition
+    return stored.join(touched_partitions(batch, parts), list(parts), "left_semi")
 
 
 def not_yet_stored(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

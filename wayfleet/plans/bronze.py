@@ -13,16 +13,19 @@ from wayfleet.sources.landing import bucket_of, decoded_path
 def to_bronze(records: DataFrame, at: Column | None = None, file_path: str = "file_path") -> DataFrame:
     """Add lineage and ingest-date columns; the nested structure is left alone.
 
-    ``records`` carries the path of its file in ``file_path`` (``parse_landing`` does).
+    ``records`` carries the path of its file in ``file_path`` (``parse_landing`` does). Without ``at`` the moment is
+    the file's own time, so a batch that is repeated on a later day lands in the same partition.
     """
-    moment = F.current_timestamp() if at is None else at
+    if at is None:
+        at = F.col("file_time") if "file_time" in records.columns else F.current_timestamp()
+    moment = at
     path = F.col(file_path)
     lineage = {
         "ingestion_timestamp": F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"),
         "source_file": decoded_path(path),
         "source_bucket": bucket_of(path),
     }
-    return records.withColumns({**lineage, **date_parts(moment, "ingest")}).drop(file_path, "file_size")
+    return records.withColumns({**lineage, **date_parts(moment, "ingest")}).drop(file_path, "file_size", "file_time")
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -50,5 +53,5 @@ def load_audit(parsed: DataFrame) -> DataFrame:
         .otherwise(F.lit("partial"))
     )
     return grouped.withColumns(
-        {"status": outcome, "columns": F.lit(len(parsed.columns) - 4), "audited_at": F.current_timestamp()}
+        {"status": outcome, "columns": F.lit(len(parsed.columns) - 5), "audited_at": F.current_timestamp()}
     )

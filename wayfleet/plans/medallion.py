@@ -14,6 +14,7 @@ from wayfleet.operators.summary import violation_rate
 from wayfleet.plans.gold import alert_log, current_state, merge_current_state
 from wayfleet.sinks import batches, snapshots
 from wayfleet.sinks.files import append_load
+from wayfleet.sources.landing import DOCUMENTS
 from wayfleet.sources.tables import folder_or_empty
 from wayfleet.streaming import jobs
 
@@ -82,13 +83,13 @@ def run_summary(delta: DataFrame, batch_id: int, rules=alerts.SLIM_RULES) -> Dat
 
 
 def run(spark: SparkSession, layout: Layout, as_of: AsOf = None, clean: str = "off",
-        files_per_batch: int | None = None) -> None:
+        files_per_batch: int | None = None, shape: str = DOCUMENTS) -> None:
     """Process everything that arrived since the last run. A run without input is a no-op."""
     jobs.land_bronze(
         spark, layout.landing, layout.bronze, layout.quarantine, layout.audit, layout.checkpoint("bronze"),
-        clean=clean, files_per_batch=files_per_batch,
+        clean=clean, files_per_batch=files_per_batch, shape=shape,
     )
-    build(spark, layout, as_of)
+    build(spark, layout, as_of, files_per_batch)
 
 
 def build(spark: SparkSession, layout: Layout, as_of: AsOf = None, files_per_batch: int | None = None) -> None:

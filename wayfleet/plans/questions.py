@@ -10,14 +10,13 @@ from wayfleet.functions.parsing import iso_date, iso_timestamp
 from wayfleet.operators.ranking import top_k
 from wayfleet.operators.summary import distribution
 
-_KM_PER_LITRE = ratios.km_per_litre
 
 
 # --- flat telemetry -------------------------------------------------------------------
 
 def least_efficient(silver: DataFrame, k: int = 10) -> DataFrame:
     """Vehicles with the lowest mean km per litre."""
-    per_trip = _KM_PER_LITRE(F.col("trip_distance_km"), F.col("trip_fuel_consumed_liters"))
+    per_trip = ratios.km_per_litre(F.col("trip_distance_km"), F.col("trip_fuel_consumed_liters"))
     level = ratios.fill_level(F.col("fuel_available_liters"), F.col("fuel_capacity_liters"))
     means = (
         silver.select("car_chassis", "manufacturer", "model", per_trip.alias("kml"), level.alias("level"))
@@ -44,7 +43,7 @@ def daily_speed(silver: DataFrame, year: str, month: str, from_day: str = "01")
 
 
 def manufacturer_statistics(silver: DataFrame) -> DataFrame:
-    per_trip = _KM_PER_LITRE(F.col("trip_distance_km"), F.col("trip_fuel_consumed_liters"))
+    per_trip = ratios.km_per_litre(F.col("trip_distance_km"), F.col("trip_fuel_consumed_liters"))
     return (
         silver.groupBy("manufacturer")
         .agg(

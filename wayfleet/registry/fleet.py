@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from wayfleet import schemas
 from wayfleet.operators.flatten import EVENT_PATHS
 from wayfleet.registry.base import rounded, table
-from wayfleet.sources.tables import at_least_parallel
+from wayfleet.sources.tables import dealt_out
 
 # Expressions that the two dialects spell differently.
 _SPARK = {
@@ -127,7 +127,7 @@ def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
     expressions = _columns(_SPARK)
     by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
     shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
-    rows = at_least_parallel(table(spark, sf_dir, "lineitem").select(*_USED))
+    rows = dealt_out(table(spark, sf_dir, "lineitem").select(*_USED), "l_orderkey", "l_linenumber")
     if folded:
         rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
     return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))
@@ -216,7 +216,7 @@ def legacy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 by_path[f"{above}{f.name}"] = flat[f"{above}{f.name}".replace(".", "_")]
 
     collect(schemas.LEGACY_EVENT)
-    return at_least_parallel(table(spark, sf_dir, "orders")).select(*_nested(schemas.LEGACY_EVENT, by_path))
+    return dealt_out(table(spark, sf_dir, "orders"), "o_orderkey").select(*_nested(schemas.LEGACY_EVENT, by_path))
 
 
 # --- the SQL side: common table expressions -------------------------------------------

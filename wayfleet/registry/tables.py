@@ -417,8 +417,7 @@ def quality_by_layer(spark, d):
 @query("outliers", """SELECT event_id, value, value < lo - (hi - lo) * 1.5e0 OR value > hi + (hi - lo) * 1.5e0 AS is_outlier FROM events,
     (SELECT quantile_disc(value, 0.25) AS lo, quantile_disc(value, 0.75) AS hi FROM events)""")
 def outliers(spark, d):
-    # Accuracy above the row count of the test tables makes the quartiles exact there.
-    return quality.unusual(_events(spark, d).select("event_id", "value"), "value", accuracy=1_000_000)
+    return quality.unusual(_events(spark, d).select("event_id", "value"), "value")
 
 
 @query("imputed_median", """SELECT event_id, user_id, coalesce(v, m) AS value FROM
@@ -427,19 +426,27 @@ def outliers(spark, d):
 def imputed_median(spark, d):
     gappy = _events(spark, d).select(
         "event_id", "user_id", F.when(F.col("event_id") % 11 != 0, F.col("value")).alias("value"))
-    return quality.fill_with_median(gappy, "value", "user_id", accuracy=1_000_000)
+    return quality.fill_with_median(gappy, "value", "user_id")
 
 
 @query("reconcile_layers", """SELECT event_id, CAST(l AS BIGINT) AS left_copies, CAST(r AS BIGINT) AS right_copies,
-    CASE WHEN r = 0 THEN 'missing_right' WHEN l = 0 THEN 'missing_left' WHEN event_id % 5 = 0 THEN 'changed' ELSE 'matched' END AS verdict
-    FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 0 WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS l,
-        CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS r FROM events) WHERE l + r > 0""")
+    CASE WHEN r = 0 THEN 'missing_right' WHEN l = 0 THEN 'missing_left' WHEN event_id % 5 = 0 OR event_id % 11 = 0 THEN 'changed' ELSE 'matched' END AS verdict
+    FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 0 WHEN event_id % 11 = 0 THEN 3 WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS l,
+        CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 11 = 0 THEN 3 ELSE 1 END AS r FROM events) WHERE l + r > 0""")
 def reconcile_layers(spark, d):
-    """Left lacks every 7th event and repeats every 4th; right lacks every 3rd and altered every 5th."""
+    """Left lacks every 7th event and repeats every 4th; right lacks every 3rd and altered every 5th.
+
+    Of every 11th event both sides hold three copies, of which one differs between the sides.
+    """
     rows = _events(spark, d).select("event_id", "user_id", "value")
-    left = by_name(rows, rows.filter("event_id % 4 = 0")).filter("event_id % 7 <> 0")
-    right = rows.filter("event_id % 3 <> 0").withColumn(
-        "value", F.when(F.col("event_id") % 5 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    thrice = rows.filter("event_id % 11 = 0")
+
+    def copies(middle: int):
+        return by_name(*(thrice.withColumn("value", F.col("value") + step) for step in (1000, middle)))
+
+    left = by_name(rows, rows.filter("event_id % 4 = 0 AND event_id % 11 <> 0"), copies(300)).filter("event_id % 7 <> 0")
+    right = by_name(rows.withColumn("value", F.when((F.col("event_id") % 5 == 0) & (F.col("event_id") % 11 != 0), F.col("value") + 1).otherwise(F.col("value"))),
+                    copies(400)).filter("event_id % 3 <> 0")
     return reconcile(left, right, "event_id", ["user_id", "value"])
 
 

@@ -59,11 +59,14 @@ def pin(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only when that setting is absent (unit tests, a laptop) is a local folder
-    made, and it is then remembered for the rest of the session.
+    Only when that setting is absent and everything runs in one process (unit tests, a laptop)
+    is a local folder made, and it is then remembered for the rest of the session. On a
+    cluster a machine's own folder would be seen by that machine alone, so the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wayfleet-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/wayfleet/{label}-{uuid.uuid4().hex[:12]}"

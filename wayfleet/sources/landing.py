@@ -4,7 +4,7 @@ Three ways to read JSON, by the shape of the files:
 
 * ``json_lines``      one record per line, large files, splittable: use it for bulk;
 * ``json_documents``  one object or one array per file, Spark's multi-line reader;
-* ``landing_text`` + ``parse_landing``  small event files of either shape, keeping the
+* ``landing_text`` + ``parse_landing``  documents or lines, as the source declares, keeping the
   raw text so that rejected input can be quarantined as it came.
 
 Files starting with ``_`` or ``.`` are skipped by Spark itself.
@@ -30,9 +30,34 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,
     return spark.read.schema(schema).option("pathGlobFilter", glob).json(path)
 
 
+def parse_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.csv") -> DataFrame:
+    """Flat rows with a header line -> typed columns, plus ``raw``, ``file_path`` and ``reject_reason``.
+
+    Columns are found by the names in the header, without regard to case, whatever their order; one that is
+    absent is NULL. A row with too many or too few fields, or a value that does not have its column's type,
+    is marked and keeps its text. All files of a path share one header; reading fails if one differs.
+    """
+    reader = spark.read.option("header", True).option("pathGlobFilter", glob)
+    header = reader.csv(path).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in (*header, "_raw")])
+    rows = reader.schema(texts).options(enforceSchema=False, columnNameOfCorruptRecord="_raw", mode="PERMISSIVE").csv(path)
+    by_lower = {c.lower(): c for c in header}
+    bad = F.lit(False)
+    columns = []
+    for f in schema.fields:
+        found = by_lower.get(f.name.lower())
+        value = F.lit(None).cast(f.dataType) if found is None else F.col(f"`{found}`").try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        if found is not None:
+            bad = bad | (F.col(f"`{found}`").isNotNull() & value.isNull())
+    reason = F.when(F.col("_raw").isNotNull(), "malformed_row").when(bad, "bad_value")
+    text = F.coalesce("_raw", F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header]))
+    return rows.select(*columns, text.alias("raw"), F.col("_metadata.file_path").alias("file_path"), reason.alias("reject_reason"))
+
+
 def csv_rows(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.csv") -> DataFrame:
-    """Flat rows with a header line; columns are matched to the header by name order."""
-    return spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob).csv(path)
+    """The usable rows of ``parse_csv``."""
+    return accepted(parse_csv(spark, path, schema, glob)).drop("file_path")
 
 
 def parquet_rows(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
@@ -64,59 +89,82 @@ def bucket_of(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/]+)/", 1), F.lit(""))
 
 
-def landing_text(spark: SparkSession, path: str, glob: str = "*.json", streaming: bool = False, **options) -> DataFrame:
-    """One row per file: raw text plus where it came from."""
+# How the text of a landing folder is cut into records; a source declares it, nothing is guessed from a file's beginning.
+DOCUMENTS, LINES = "documents", "lines"
+
+
+def landing_text(spark: SparkSession, path: str, glob: str = "*.json", streaming: bool = False, shape: str = DOCUMENTS,
+                 **options) -> DataFrame:
+    """Raw text plus where it came from: one row per file of ``DOCUMENTS`` (an object or an array each, event-sized),
+    or one row per line that is not blank of ``LINES``, which are read in splits however large a file is."""
+    if shape not in (DOCUMENTS, LINES):
+        raise ValueError(f"unknown shape: {shape}")
     reader = spark.readStream if streaming else spark.read
     frame = (
-        reader.format("text").option("wholetext", True).option("pathGlobFilter", glob).options(**options).load(path)
+        reader.format("text").option("wholetext", shape == DOCUMENTS).option("pathGlobFilter", glob).options(**options).load(path)
     )
+    if shape == LINES:
+        frame = frame.filter(F.trim("value") != "")
     return frame.select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
-def record_texts(raw: Column) -> Column:
-    """The text of each record in a file: one object, an array, or one object per line.
+def is_one_value(raw: Column) -> Column:
+    """Whether a text is exactly one JSON value; parsers stop after the first and would ignore what follows.
 
-    Records are cut out as text first, so that a file of many records costs its own
-    size once, however its rows are used afterwards.
+    Something that closes one bracket too early cannot fit both an array and an object put around it.
     """
-    # A whole object on the first line and another one starting on the next.
-    one_per_line = raw.rlike(r"^\s*\{[^\n]*\}[ \t\r]*\n\s*\{")
-    lines = F.filter(F.split(raw, r"\r?\n"), lambda line: F.trim(line) != "")
-    elements = F.when(F.ltrim(raw).startswith("["), F.from_json(raw, T.ArrayType(T.StringType())))
-    return F.when(one_per_line, lines).otherwise(F.coalesce(elements, F.array(raw)))
+    in_array = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), T.ArrayType(T.StringType()))
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), raw, F.lit("}")))
+    return F.coalesce((F.size(in_array) == 1) & in_object.isNotNull(), F.lit(False))
 
 
 def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str] = ("event_id", "carChassis")) -> DataFrame:
-    """Raw files -> records, with ``reject_reason`` set on what cannot be used.
+    """Raw texts -> records, with ``reject_reason`` set on what cannot be used.
 
-    Records that lack a required key (a foreign layout, say) are marked, and so is
-    text that is not JSON; neither disturbs the other records or files of the batch.
+    A text is one object, one array of records, or lines of them. What is exactly one JSON value is read as such. Any
+    other text is cut into its lines if one of them at least is a record by itself, and each line
+    stands for itself; else it is kept whole. Text that is no JSON, JSON with more text after it, and records that
+    lack a required key (a foreign layout, say) are marked; none disturbs the other records or files of the
+    batch, and every piece of text ends up on one side.
     """
+    text = F.col("raw")
+    lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
+    piece = lambda t, whole: F.struct(t.alias("raw"), whole.alias("whole"))
+    some_record = F.exists(lines, lambda line: F.ltrim(line).startswith("{") & is_one_value(line))
+    elements = F.from_json(text, T.ArrayType(T.StringType()))
+    pieces = (
+        F.when(F.col("_whole") & F.ltrim(text).startswith("["), F.transform(elements, lambda t: piece(t, F.lit(True))))
+        .when(~F.col("_whole") & some_record, F.transform(lines, lambda t: piece(t, is_one_value(t))))
+        .otherwise(F.array(piece(text, F.col("_whole"))))
+    )
+    known = raw.withColumn("_whole", is_one_value(text)).withColumn("_pieces", pieces)
     # Parsed before the explode: a filter on the result then stays above it, instead of
     # being pushed down with a copy of the parser for every column it mentions.
-    records = F.transform(
-        record_texts(F.col("raw")), lambda t: F.struct(t.alias("raw"), F.from_json(t, schema).alias("_record"))
-    )
-    parsed = raw.select(F.inline_outer(records), "file_path", "file_size")
+    records = F.transform("_pieces", lambda p: F.struct(
+        p["raw"].alias("raw"), p["whole"].alias("_one"), F.from_json(F.when(p["whole"], p["raw"]), schema).alias("_record")))
+    parsed = known.select(F.inline_outer(records), "file_path", "file_size", "file_time")
 
     names = [f.name for f in schema.fields]
     by_lower = {n.lower(): n for n in names}
     no_fields = F.lit(True)
     for name in names:
         no_fields = no_fields & F.col(f"_record.`{name}`").isNull()
-    malformed = no_fields & F.try_parse_json("raw").isNull()
+    is_json = F.try_parse_json("raw").isNotNull()
     reason = (
         F.when(F.col("raw").isNull(), F.lit("no_records"))
-        .when(malformed, F.lit("not_json"))
+        .when(no_fields & ~is_json, F.lit("not_json"))
+        .when(~F.col("_one"), F.lit("trailing_content"))
         .when(no_fields, F.lit("foreign_layout"))
     )
     for name in (by_lower[r.lower()] for r in required):
         reason = reason.when(F.col(f"_record.`{name}`").isNull(), F.lit(f"missing_{name}"))
-    return parsed.withColumn("reject_reason", reason).select("_record.*", "raw", "file_path", "file_size", "reject_reason")
+    return parsed.withColumn("reject_reason", reason).select(
+        "_record.*", "raw", "file_path", "file_size", "file_time", "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

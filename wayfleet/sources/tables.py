@@ -61,12 +61,6 @@ def alias_view(spark: SparkSession, view: str, database: str, name: str) -> None
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM `{database}`.`{name}`")
 
 
-def at_least_parallel(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores when the scan would start fewer tasks than that.
-
-    A Parquet file with a single row group is one task however many cores wait. Apply
-    it to narrow rows, before the work that makes them wide. Inputs with enough splits,
-    which is every large table, pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def dealt_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal narrow rows out by key before the work that makes them wide: a file with a single row group is one task otherwise."""
+    return df.repartition(*keys)

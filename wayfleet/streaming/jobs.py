@@ -51,10 +51,12 @@ def land_bronze(spark: SparkSession, landing: str, bronze: str, quarantine: str,
         # Three outputs from one parse. A lost block is recomputed from the landing
         # files, which stay until the batch is committed.
         parsed = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        append_load(to_bronze(accepted(parsed)), bronze, schemas.INGEST_PARTITIONS, batch_id)
-        append_load(rejected(parsed), quarantine, [], batch_id)
-        append_load(load_audit(parsed), audit, [], batch_id)
-        parsed.unpersist()
+        try:
+            append_load(to_bronze(accepted(parsed)), bronze, schemas.INGEST_PARTITIONS, batch_id)
+            append_load(rejected(parsed), quarantine, [], batch_id)
+            append_load(load_audit(parsed), audit, [], batch_id)
+        finally:
+            parsed.unpersist()
 
     stream = landing_stream(spark, landing, schemas.EVENT, **source_options)
     return drain(stream.writeStream.foreachBatch(load), checkpoint)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wayfleet.sources.landing import landing_text, parse_landing
+from wayfleet.sources.landing import DOCUMENTS, landing_text, parse_landing
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int | None = None,
-                   clean: str = "off", archive: str | None = None, glob: str = "*.json") -> DataFrame:
-    """Parsed landing files as they arrive.
+                   clean: str = "off", archive: str | None = None, glob: str = "*.json", shape: str = DOCUMENTS) -> DataFrame:
+    """Parsed landing files as they arrive; ``shape`` says whether a file is one document or lines.
 
     ``clean``: "delete" or "archive" removes a source file once the batch that
     contained it has been committed ("archive" moves it under ``archive``).
@@ -20,7 +20,7 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, *, file
         options["sourceArchiveDir"] = archive
     if files_per_batch:
         options["maxFilesPerTrigger"] = str(files_per_batch)
-    return parse_landing(landing_text(spark, path, glob, streaming=True, **options), schema)
+    return parse_landing(landing_text(spark, path, glob, streaming=True, shape=shape, **options), schema)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int | None = None,
