@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from wayfleet.llm import components, language, licenses, outliers, simhash, toxicity, winnowing
-from wayfleet.llm.common import prefix_sums
+from wayfleet.operators.ordered import running_sums
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -145,7 +145,7 @@ def test_components_of_chains_and_hubs(spark):
 
 def test_prefix_sums_with_null_keys(spark):
     rows = [(k, n // 5, n, n % 7) for k in ("x", "y", None) for n in range(23)]
-    got = prefix_sums(spark.createDataFrame(rows, "k string, b int, n int, v int"), ["k"], "b", [F.col("n")], {"s": F.col("v")}).collect()
+    got = running_sums(spark.createDataFrame(rows, "k string, b int, n int, v int"), ["k"], "b", [F.col("n")], {"s": F.col("v")}).collect()
     assert {(r.k, r.n): r.s for r in got} == {(k, n): sum(m % 7 for m in range(n + 1)) for k in ("x", "y", None) for n in range(23)}
 
 

@@ -1,4 +1,4 @@
-"""Helpers that several operators share: settings, scratch tables, flat text buffers and prefix sums."""
+"""Helpers that several operators share: settings, scratch tables and flat text buffers."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.session import scratch
@@ -77,29 +77,3 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
     return h ^ (h >> np.uint64(32))
-
-
-def prefix_sums(
-    df: DataFrame, keys: list[str], block: str, order: list[Column], sums: dict[str, Column], ties: bool = False
-) -> DataFrame:
-    """Add running sums within ``keys``, in two levels, so that no task needs all rows of a key.
-
-    ``block`` names an integer column that cuts each key into ordered ranges.  Totals by
-    (key, block) are summed first; a row then gets the total of the blocks before its own
-    plus its running sum inside the block.  ``ties``: rows equal in ``order`` get the same sum.
-    """
-    totals = df.groupBy(*keys, block).agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
-    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(block).alias("__block"),
-        *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(f"__{n}") for n in sums],
-    )
-    same = F.col(block) == F.col("__block")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    inside = Window.partitionBy(*keys, block).orderBy(*order)
-    inside = inside.rangeBetween(Window.unboundedPreceding, 0) if ties else inside.rowsBetween(Window.unboundedPreceding, 0)
-    out = df.join(offsets, same)
-    for n, c in sums.items():
-        out = out.withColumn(n, F.col(f"__{n}") + F.sum(c).over(inside))
-    return out.drop("__block", *[f"__k{i}" for i in range(len(keys))], *[f"__{n}" for n in sums])

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.llm.common import bounded_batches, prefix_sums, settle
+from wayfleet.llm.common import bounded_batches, settle
+from wayfleet.operators.ordered import running_sums
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published splitting pattern of this vocabulary.
@@ -63,7 +64,7 @@ def length_histogram(lengths: DataFrame, per_block: int = LENGTHS_PER_BLOCK) ->
     exact = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
     exact = settle(exact.select(F.col("n_tokens").alias("length"), "n_docs", F.floor(F.col("n_tokens") / per_block).alias("block")), "lengths")
     total = exact.agg(F.struct(F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("length")).alias("tokens"))).scalar()
-    summed = prefix_sums(exact.withColumn("every", F.lit(1)), ["every"], "block", [F.col("length")], {"docs_upto": F.col("n_docs"), "tokens_upto": F.col("n_docs") * F.col("length")})
+    summed = running_sums(exact.withColumn("every", F.lit(1)), ["every"], "block", [F.col("length")], {"docs_upto": F.col("n_docs"), "tokens_upto": F.col("n_docs") * F.col("length")})
     whole = summed.withColumn("all", total).select("*", F.col("all")["docs"].alias("all_docs"), F.col("all")["tokens"].alias("all_tokens"))
     longer = F.col("all_docs") - F.col("docs_upto")
     return whole.select(

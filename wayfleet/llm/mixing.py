@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfleet.llm.common import WHITE_WORD, prefix_sums, settle
+from wayfleet.llm.common import WHITE_WORD, settle
+from wayfleet.operators.ordered import running_sums
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -83,7 +84,7 @@ def mix(
     # The first 32 bits of the key, as a share of their range, deal the source's rows into even, ordered blocks.
     share = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
     keyed = keyed.withColumn("block", F.floor(share * F.ceil(F.col("n_rows") / rows_per_block)).cast("long"))
-    summed = prefix_sums(keyed, ["source"], "block", [F.col("key"), F.col("doc_id"), F.col("size")], {"upto": F.col("size")})
+    summed = running_sums(keyed, ["source"], "block", [F.col("key"), F.col("doc_id"), F.col("size")], {"upto": F.col("size")})
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("budget") - F.col("whole") * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("upto") - F.col("size"))))
