@@ -76,6 +76,31 @@ def test_landing_to_products_is_incremental_and_repeatable(spark):
     assert [r.silver_rows for r in runs] == [5, 2] and runs[0].silver_columns == 55
 
 
+def test_any_batching_gives_the_same_tables(spark):
+    """A later copy on another day, one with a lower mileage, repeats without a time, and one that later gets a time; in one, two and six batches."""
+    car = scenarios()[0]["carChassis"]
+    deliveries = [
+        event("x", car, "2025-11-05T08:00:00Z", mileage=500, km=1.0, litres=0.1), event("y", car, "2025-11-05T09:00:00Z", mileage=900, km=1.0, litres=0.1),
+        event("u", car, "soon"), event("x", car, "2025-11-06T08:00:00Z", mileage=400, km=2.0, litres=0.2),
+        event("y", car, "2025-12-05T10:00:00Z", mileage=300, km=5.0, litres=0.5), event("u", car, "soon"), event("late", car, "whenever"),
+        event("late", car, "2025-11-07T00:00:00Z", mileage=350, km=1.0, litres=0.1), event("x", car, "2025-11-04T08:00:00Z", mileage=999, km=9.0, litres=0.9),
+    ]
+    seen = set()
+    for per_batch in (9, 5, 2):
+        base = tempfile.mkdtemp(prefix="run-")
+        layout = Layout(f"{base}/landing", f"{base}/lake")
+        for at in range(0, len(deliveries), per_batch):
+            drop(layout.landing, f"{at}.json", deliveries[at : at + per_batch])
+            medallion.run(spark, layout, AS_OF)
+        flat = medallion.read_silver(spark, layout).select("event_id", "event_day", "trip_distance_km").collect()
+        fuel = medallion.read_fuel(spark, layout).select("event_month", "total_mileage", "trip_count").collect()
+        state = medallion.read_state(spark, layout).select("event_id", "current_mileage_km").collect()
+        aside = medallion.read_undated(spark, layout).select("event_id").collect()
+        seen.add(tuple(tuple(sorted(map(tuple, rows))) for rows in (flat, fuel, state, aside)))
+    assert seen == {(
+        (("late", "07", 1.0), ("x", "06", 2.0), ("y", "05", 5.0)), (("11", 3.0, 2), ("12", 5.0, 1)), (("x", 400),), (("u",),))}
+
+
 def test_undated_events_are_kept_aside(spark):
     base = tempfile.mkdtemp(prefix="run-")
     layout = Layout(f"{base}/landing", f"{base}/lake")

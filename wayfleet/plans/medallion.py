@@ -10,10 +10,13 @@ from wayfleet import schemas
 from wayfleet.functions import alerts
 from wayfleet.functions.clock import AsOf
 from wayfleet.operators import monthly
+from wayfleet.operators.latest import latest_per_key
 from wayfleet.operators.summary import violation_rate
+from wayfleet.operators.upsert import not_yet_stored, within_partitions
 from wayfleet.plans.gold import alert_log, current_state, merge_current_state
-from wayfleet.sinks import batches, snapshots
-from wayfleet.sinks.files import append_load
+from wayfleet.plans.silver import EVENT_RECENCY
+from wayfleet.sinks import snapshots
+from wayfleet.sinks.files import append_load, refresh_partitions
 from wayfleet.sources.landing import DOCUMENTS
 from wayfleet.sources.tables import folder_or_empty
 from wayfleet.streaming import jobs
@@ -54,19 +57,33 @@ def state_schema(spark: SparkSession) -> T.StructType:
     return jobs.layout_of("state", lambda: current_state(schemas.empty(spark, jobs.silver_schema(spark))))
 
 
-def refresh_products(delta: DataFrame, batch_id: int, layout: Layout, as_of: AsOf = None,
+def refresh_products(change: jobs.Change, batch_id: int, layout: Layout, as_of: AsOf = None,
                      rules=alerts.SLIM_RULES) -> None:
-    """Apply one Silver delta to the three products and write down the run summary.
+    """Bring the three products in line with what a batch did to Silver, and write down the run summary.
 
-    Every step may be repeated for the same ``batch_id`` without changing the result.
+    Monthly totals and alerts are computed anew for the months and days that were touched, from
+    Silver as it is now, and the state for vehicles that lost a row. So every step may be repeated for
+    the same batch, and the products do not depend on how deliveries are dealt over batches.
     """
-    spark = delta.sparkSession
-    batches.apply_batch(monthly.partials(delta), layout.fuel, str(batch_id))
-    append_load(alert_log(delta, rules), layout.alerts, schemas.ALERT_PARTITIONS, batch_id)
-    stored = snapshots.current(spark, layout.state, state_schema(spark))
-    snapshots.publish(merge_current_state(delta, stored, as_of), layout.state)
-
-    append_load(run_summary(delta, batch_id, rules), layout.runs, [], batch_id)
+    spark = change.added.sparkSession
+    stored = read_silver(spark, layout)
+    months = change.days.select(*schemas.MONTH_PARTITIONS).distinct()
+    refresh_partitions(
+        monthly.partials(within_partitions(stored, months, schemas.MONTH_PARTITIONS)), layout.fuel, schemas.MONTH_PARTITIONS, months)
+    today = within_partitions(stored, change.days, schemas.EVENT_PARTITIONS)
+    refresh_partitions(
+        alert_log(today, rules), layout.alerts, schemas.ALERT_PARTITIONS,
+        within_partitions(read_alerts(spark, layout), change.days, schemas.EVENT_PARTITIONS))
+
+    state = snapshots.current(spark, layout.state, state_schema(spark))
+    fresh = change.added
+    if not change.bereft.isEmpty():
+        # A vehicle that lost a row is looked up in all of Silver; this is rare.
+        fresh = fresh.unionByName(stored.join(change.bereft, "car_chassis", "left_semi"))
+        state = state.join(change.bereft, "car_chassis", "left_anti").select(*state.columns)
+    snapshots.publish(merge_current_state(fresh, state, as_of), layout.state)
+
+    append_load(run_summary(change.added, batch_id, rules), layout.runs, [], batch_id)
 
 
 def run_summary(delta: DataFrame, batch_id: int, rules=alerts.SLIM_RULES) -> DataFrame:
@@ -96,7 +113,7 @@ def build(spark: SparkSession, layout: Layout, as_of: AsOf = None, files_per_bat
     """Bronze -> products only; with a new ``generation`` this reprocesses all of Bronze."""
     jobs.refresh_silver(
         spark, layout.bronze, layout.silver, layout.undated, layout.deltas, layout.checkpoint("silver"), as_of,
-        then=lambda delta, batch_id: refresh_products(delta, batch_id, layout, as_of),
+        then=lambda change, batch_id: refresh_products(change, batch_id, layout, as_of),
         files_per_batch=files_per_batch,
     )
 
@@ -109,9 +126,14 @@ def read_state(spark: SparkSession, layout: Layout) -> DataFrame:
     return snapshots.current(spark, layout.state, state_schema(spark))
 
 
+def read_undated(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Events without a usable time, each once; one that also came with a time is in Silver alone."""
+    kept = folder_or_empty(spark, layout.undated, jobs.silver_schema(spark))
+    return not_yet_stored(latest_per_key(kept, ["event_id"], EVENT_RECENCY), read_silver(spark, layout), ["event_id"])
+
+
 def read_fuel(spark: SparkSession, layout: Layout) -> DataFrame:
-    merged = batches.merged(spark, layout.fuel, jobs.partials_schema(spark), monthly.merge)
-    return monthly.finish(merged)
+    return monthly.finish(folder_or_empty(spark, layout.fuel, jobs.partials_schema(spark)))
 
 
 def read_alerts(spark: SparkSession, layout: Layout) -> DataFrame:

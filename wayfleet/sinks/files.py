@@ -38,6 +38,19 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
     )
 
 
+def refresh_partitions(df: DataFrame, path: str, partitions: Sequence[str], old: DataFrame) -> None:
+    """``replace_partitions``, and removal of the partitions in ``old`` that no longer have rows.
+
+    ``df`` must not read ``path``. Repeating it with the same frames changes nothing. The removed
+    partitions are listed on the driver: days or months, a few for a batch.
+    """
+    spark = df.sparkSession
+    emptied = old.select(*partitions).distinct().join(df.select(*partitions).distinct(), list(partitions), "left_anti").collect()
+    replace_partitions(df, path, partitions)
+    for row in emptied:
+        remove(spark, "/".join([path.rstrip("/"), *(f"{name}={row[name]}" for name in partitions)]))
+
+
 def _staging(path: str) -> str:
     # The leading underscore hides it from readers of the table.
     return f"{path.rstrip('/')}/_staged"

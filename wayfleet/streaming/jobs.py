@@ -4,6 +4,7 @@ the previous call with the same checkpoint, then stops (``availableNow``)."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -12,12 +13,13 @@ from pyspark.sql.streaming import StreamingQuery
 from wayfleet import schemas
 from wayfleet.functions.alerts import SLIM_RULES, Rule
 from wayfleet.operators import monthly
-from wayfleet.operators.upsert import not_yet_stored, within_partitions
+from wayfleet.operators.latest import content_hash, latest_per_key
+from wayfleet.operators.upsert import by_name, within_partitions
 from wayfleet.plans.bronze import load_audit, to_bronze
 from wayfleet.plans.gold import alert_log
-from wayfleet.plans.silver import dated, enrich, flatten_events, silver, undated
+from wayfleet.plans.silver import EVENT_RECENCY, dated, silver, undated
 from wayfleet.sinks.batches import apply_batch
-from wayfleet.sinks.files import append, append_load, materialise_once, remove
+from wayfleet.sinks.files import append_load, materialise_once, refresh_partitions, remove
 from wayfleet.sources.landing import accepted, rejected
 from wayfleet.sources.tables import folder_or_empty
 from wayfleet.streaming.sources import drain, landing_stream, parquet_stream
@@ -62,36 +64,45 @@ def land_bronze(spark: SparkSession, landing: str, bronze: str, quarantine: str,
     return drain(stream.writeStream.foreachBatch(load), checkpoint)
 
 
+@dataclass(frozen=True)
+class Change:
+    """What a batch did to Silver, written down: rows it added, vehicles that lost a row, and the days it rewrote."""
+
+    added: DataFrame
+    bereft: DataFrame
+    days: DataFrame
+
+
 def refresh_silver(spark: SparkSession, bronze: str, silver_path: str, undated_path: str, deltas: str,
-                   checkpoint: str, as_of=None, then: Callable[[DataFrame, int], None] | None = None,
+                   checkpoint: str, as_of=None, then: Callable[[Change, int], None] | None = None,
                    **source_options) -> StreamingQuery:
-    """Bronze -> Silver, each event once, however often it is delivered.
+    """Bronze -> Silver: each event once, its latest copy, however copies are dealt over batches.
 
-    The new rows of a batch are written down first (``deltas``); Silver and whatever
-    ``then`` does are fed from that copy, so a retried batch repeats the same rows.
+    A batch is merged with the days it touches: those of its own rows and those where older copies of its
+    events are stored (their ids and days are a narrow scan). The latest copy of an event wins, and moves
+    it to another day if its time has changed. Everything the batch changes is written down first (``deltas``) and
+    Silver and whatever ``then`` does are fed from there, so a retried batch does the same again.
     """
-    layout = silver_schema(spark)
+    layout, day = silver_schema(spark), schemas.EVENT_PARTITIONS
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        session = batch.sparkSession
-        enriched = silver(batch, as_of)
-        # Days the batch falls on; needs neither the dedup nor most columns.
-        days = dated(enrich(flatten_events(batch), as_of))
-
-        def already_there() -> DataFrame:
-            stored = folder_or_empty(session, silver_path, layout)
-            return within_partitions(stored, days, schemas.EVENT_PARTITIONS)
-
-        fresh = not_yet_stored(dated(enriched), already_there(), ["event_id"]).select(*layout.names)
-        delta = materialise_once(fresh, f"{deltas}/batch={batch_id}")
-        # A retry may find part of the batch stored already; only the rest is added.
-        missing = not_yet_stored(delta, already_there(), ["event_id"]).select(*layout.names)
-        append(missing, silver_path, schemas.EVENT_PARTITIONS)
-        append_load(undated(enriched), undated_path, [], batch_id)
+        session, at = batch.sparkSession, f"{deltas}/batch={batch_id}"
+        new = materialise_once(silver(batch, as_of).select(*layout.names), f"{at}/new")
+        stored = folder_or_empty(session, silver_path, layout)
+        older = stored.select("event_id", *day).join(new.select("event_id"), "event_id", "left_semi").select(*day)
+        days = materialise_once(dated(older.unionByName(new.select(*day))).distinct(), f"{at}/days")
+        before = within_partitions(stored, days, day).select(*layout.names)
+        after = materialise_once(latest_per_key(by_name(before, dated(new)), ["event_id"], EVENT_RECENCY), f"{at}/after")
+        was = before.select("event_id", content_hash(before).alias("_content"))
+        now = after.select("event_id", content_hash(after).alias("_content"))
+        added = materialise_once(_without(after, was), f"{at}/added")
+        bereft = materialise_once(_without(before, now).select("car_chassis").distinct(), f"{at}/bereft")
+        refresh_partitions(after, silver_path, day, days)
+        append_load(undated(new), undated_path, [], batch_id)
         if then is not None:
-            then(delta, batch_id)
+            then(Change(added, bereft, days), batch_id)
         # Batch n only starts once batch n - 1 is committed, so that copy is done with.
         remove(session, f"{deltas}/batch={batch_id - 1}")
 
@@ -99,6 +110,11 @@ def refresh_silver(spark: SparkSession, bronze: str, silver_path: str, undated_p
     return drain(stream.writeStream.foreachBatch(load), checkpoint)
 
 
+def _without(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows whose id and content are not listed."""
+    return rows.withColumn("_content", content_hash(rows)).join(listed, ["event_id", "_content"], "left_anti").select(*rows.columns)
+
+
 def log_alerts(spark: SparkSession, silver_path: str, alerts: str, checkpoint: str,
                rules: Sequence[Rule] = SLIM_RULES, **source_options) -> StreamingQuery:
     """Silver -> alert log: stateless, written by the exactly-once file sink."""
