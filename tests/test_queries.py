@@ -12,7 +12,7 @@ from wayfleet.registry.base import RUNS, SQL
 SF = "/root/testdata/sf0.001"
 # Covered by test_flow and test_storage; too slow to repeat for every test run.
 SLOW = {"landing_to_products", "catalog_roundtrip", "stream_alert_log", "stream_fuel_monthly", "fuel_batches_roundtrip",
-        "compaction_roundtrip", "publish_roundtrip", "json_array_scan", "load_audit"}
+        "compaction_roundtrip", "publish_roundtrip", "json_array_scan", "load_audit", "silver_any_batching"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
@@ -43,5 +43,7 @@ def test_no_python_workers_no_cross_joins_and_pruned_scans(spark):
                  "rank_efficiency", "status_share", "reconcile_layers"):
         plan = RUNS[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+    plan = RUNS["partition_prune"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "event_day" in plan.split("PartitionFilters: ")[1].split("]")[0]
     plan = RUNS["monthly_efficiency"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in plan and "GreaterThanOrEqual(l_quantity,0.0)" in plan

@@ -30,6 +30,12 @@ _SAMPLE = "event_id, car_chassis, event_timestamp, current_mileage_km, trip_dist
 _SAMPLE_COLUMNS = [c.strip() for c in _SAMPLE.split(",")]
 
 
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """Written once and read back: several steps start from it."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None, folded: bool = False) -> str:
     lines = events(spark, d, folded).select(F.to_json(F.struct("*")).alias("value"))
     writer = lines.write.option("maxRecordsPerFile", per_file) if per_file else lines.write
@@ -130,15 +136,14 @@ def schema_evolution(spark, d):
     return landing.parquet_rows(spark, path, merge_schema=True).select("p_partkey", "p_name", "p_brand")
 
 
-@query("catalog_roundtrip", f"WITH {ALERTS} SELECT car_chassis, alert_value, alert_type, event_year FROM alerts WHERE event_year = '1998' AND event_month = '04'")
+@query("catalog_roundtrip", f"WITH {ALERTS} SELECT car_chassis, alert_value, alert_type, event_year FROM alerts")
 def catalog_roundtrip(spark, d):
     """External partitioned table over written files, found by partition discovery."""
     path, database = scratch(spark, "catalog"), f"wayfleet_{uuid.uuid4().hex[:8]}"
     files.append(alert_log(silver(events(spark, d), AS_OF)), path, schemas.MONTH_PARTITIONS)
     tables.create_external(spark, database, "alert_log", schemas.ALERT, path, schemas.MONTH_PARTITIONS)
     tables.discover_partitions(spark, database, "alert_log")
-    found = tables.table(spark, database, "alert_log").filter("event_year = '1998' AND event_month = '04'")
-    return found.select("car_chassis", "alert_value", "alert_type", "event_year")
+    return tables.table(spark, database, "alert_log").select("car_chassis", "alert_value", "alert_type", "event_year")
 
 
 # --- sinks ----------------------------------------------------------------------------
@@ -150,7 +155,7 @@ _STATE_SAMPLE = "car_chassis, event_id, current_mileage_km, insurance_status, in
 def publish_roundtrip(spark, d):
     """Current state from two batches, the second merged into the published first."""
     root = scratch(spark, "state")
-    flat = silver(events(spark, d), AS_OF)
+    flat = settled(silver(events(spark, d), AS_OF), f"{root}-rows")
     first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
     for batch in (flat.filter(first), flat.filter(~first)):
         stored = snapshots.current(spark, root, medallion.state_schema(spark))
@@ -158,16 +163,27 @@ def publish_roundtrip(spark, d):
     return snapshots.current(spark, root).select(*(c.strip() for c in _STATE_SAMPLE.split(",")))
 
 
-@query("compaction_roundtrip", f"WITH {SILVER} SELECT event_year, event_month, count(*) AS n FROM silver WHERE event_year IS NOT NULL GROUP BY ALL")
+@query("compaction_roundtrip", f"WITH {SILVER} SELECT event_year, event_month, count(*) AS n, count(*) AS seen FROM silver WHERE event_year IS NOT NULL GROUP BY ALL")
 def compaction_roundtrip(spark, d):
-    """Two appends leave small files; rewriting the partitions keeps the rows."""
-    path, months = scratch(spark, "compact"), schemas.MONTH_PARTITIONS
-    flat = dated(silver(events(spark, d), AS_OF)).select("event_id", "car_chassis", *months)
-    half = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
-    files.append(flat.filter(half), path, months)
-    files.append(flat.filter(~half), path, months)
+    """Appends before and after a compaction: all rows stay, and a stream that goes on afterwards sees each row once."""
+    out, months = scratch(spark, "compact"), schemas.MONTH_PARTITIONS
+    path = f"{out}/table"
+    flat = settled(dated(silver(events(spark, d), AS_OF)).select("event_id", "car_chassis", *months), f"{out}/rows")
+    lot = F.pmod(F.xxhash64("event_id"), F.lit(3))
+
+    def stream_on() -> None:
+        stream = parquet_stream(spark, path, flat.schema)
+        drain(stream.writeStream.format("parquet").option("path", f"{out}/seen"), f"{out}/checkpoint")
+
+    files.append(flat.filter(lot == 0), path, months)
+    files.append(flat.filter(lot == 1), path, months)
+    stream_on()
     files.compact(spark, path, flat.schema, months, F.col("event_year") >= "1998")
-    return spark.read.schema(flat.schema).parquet(path).groupBy(*months).agg(F.count("*").alias("n"))
+    files.append(flat.filter(lot == 2), path, months)
+    stream_on()
+    stored = spark.read.schema(flat.schema).parquet(path).groupBy(*months).agg(F.count("*").alias("n"))
+    streamed = spark.read.schema(flat.schema).parquet(f"{out}/seen").groupBy(*months).agg(F.count("*").alias("seen"))
+    return stored.join(streamed, months, "full_outer")
 
 
 _FUEL_SQL = f"""WITH {FUEL} SELECT car_chassis, event_year, event_month, total_mileage, total_fuel, trip_count,
@@ -180,7 +196,7 @@ _FUEL_COLUMNS = ("car_chassis", "event_year", "event_month", "total_mileage", "t
 def fuel_batches_roundtrip(spark, d):
     """Batches applied, folded, applied twice: totals stay those of one pass."""
     root, layout = scratch(spark, "fuel"), jobs.partials_schema(spark)
-    flat = dated(silver(events(spark, d), AS_OF))
+    flat = settled(dated(silver(events(spark, d), AS_OF)), f"{root}-rows")
     lot = F.pmod(F.xxhash64("event_id"), F.lit(3))
     for i in (0, 1):
         batches.apply_batch(monthly.partials(flat.filter(lot == i)), root, str(i))
@@ -222,6 +238,21 @@ def _silver_files(spark: SparkSession, d: str, out: str) -> str:
     return f"{out}/silver"
 
 
+@query("silver_any_batching", f"""WITH {folded_sql(SILVER)} SELECT event_id, car_chassis, current_mileage_km, trip_distance_km, event_year, event_month, event_day
+    FROM silver WHERE event_year IS NOT NULL""")
+def silver_any_batching(spark, d):
+    """Silver from deliveries dealt over several batches, copies of an event apart: the same as from one pass."""
+    out = scratch(spark, "batches")
+    bronze, at = f"{out}/bronze", F.lit("1998-09-02 06:00:00").cast("timestamp")
+    rows = settled(to_bronze(events(spark, d, folded=True).withColumn("file_path", F.lit("feed")), at), f"{out}/rows")
+    lot = F.pmod(F.xxhash64("event_id", "processing_timestamp", "carChassis"), F.lit(3))
+    for i in range(3):
+        files.append_load(rows.filter(lot == i), bronze, schemas.INGEST_PARTITIONS, i)
+        jobs.refresh_silver(spark, bronze, f"{out}/silver", f"{out}/undated", f"{out}/deltas", f"{out}/checkpoint", AS_OF)
+    stored = spark.read.schema(jobs.silver_schema(spark)).parquet(f"{out}/silver")
+    return stored.select("event_id", "car_chassis", "current_mileage_km", "trip_distance_km", *schemas.EVENT_PARTITIONS)
+
+
 @query("stream_alert_log", f"WITH {folded_sql(ALERTS)} SELECT * FROM alerts WHERE event_year IS NOT NULL")
 def stream_alert_log(spark, d):
     out = scratch(spark, "alerts")

@@ -22,6 +22,8 @@ from wayfleet.plans.silver import legacy_silver
 from wayfleet.registry.base import query, rounded, table
 from wayfleet.registry.fleet import LEGACY_FLAT, legacy_events
 from wayfleet.registry.telemetry import settle
+from wayfleet.session import scratch
+from wayfleet.sinks.files import append
 
 AS_OF = dt.date(1998, 9, 2)
 
@@ -363,8 +365,11 @@ def daily_trend(spark, d):
 @query("partition_prune", """SELECT event_id, strftime(ts, '%Y') AS event_year, strftime(ts, '%m') AS event_month, strftime(ts, '%d') AS event_day
     FROM events WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-16'""")
 def partition_prune(spark, d):
-    dated = _events(spark, d).select("event_id", *(c.alias(n) for n, c in date_parts(F.col("ts"), "event").items()))
-    return dated.filter(on_day("2024", "01", "15"))
+    """One day of a day-partitioned table: only that day's files are read."""
+    path = f"{scratch(spark, 'days')}/events"
+    parts = date_parts(F.col("ts"), "event")
+    append(_events(spark, d).select("event_id", *(c.alias(n) for n, c in parts.items())), path, list(parts))
+    return spark.read.parquet(path).filter(on_day("2024", "01", "15"))
 
 
 # --- quality --------------------------------------------------------------------------

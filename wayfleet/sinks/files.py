@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from wayfleet.schemas import empty
 from wayfleet.sources.tables import folder_exists
 
 
@@ -86,11 +87,51 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def compact(spark: SparkSession, path: str, schema, partitions: Sequence[str], only=None) -> None:
-    """Rewrite partitions (all, or those matching ``only``) into well-sized files."""
-    finish_rewrite(spark, path, partitions)
+# Compacted files carry this prefix, and streams skip it: what they hold arrived before under other names.
+COMPACTED = "compacted-"
+
+
+def compact(spark: SparkSession, path: str, schema, partitions: Sequence[str], only: Column | None = None) -> None:
+    """Merge the files of partitions (all, or those that ``only`` picks by partition columns) into well-sized ones.
+
+    Well-sized copies and a manifest of exactly the files they stand for are written next to the table, both
+    from one listing. Publishing moves the copies in and deletes the files in the manifest and no others, so rows
+    that are appended at any time, also between an interrupted attempt and its repetition, stay. Compact
+    partitions whose files every stream on the table has consumed: streams never read compacted files.
+    """
+    finish_compaction(spark, path)
     stored = spark.read.schema(schema).parquet(path)
-    rewrite_partitions(stored if only is None else stored.filter(only), path, partitions)
+    if only is not None:
+        # Raises unless partition columns are all it needs.
+        empty(spark, T.StructType([stored.schema[p] for p in partitions])).filter(only)
+        stored = stored.filter(only)
+    staged = f"{path.rstrip('/')}/_compacting"
+    spread(stored, partitions).write.partitionBy(*partitions).option("compression", "snappy").parquet(f"{staged}/data")
+    stored.select(F.col("_metadata.file_path").alias("file")).distinct().write.parquet(f"{staged}/manifest")
+    finish_compaction(spark, path)
+
+
+def finish_compaction(spark: SparkSession, path: str) -> bool:
+    """Publish a compaction whose manifest is complete, drop one that stopped earlier. Safe to call at any time."""
+    root, staged = path.rstrip("/"), f"{path.rstrip('/')}/_compacting"
+    if not folder_exists(spark, staged):
+        return False
+    complete = folder_exists(spark, f"{staged}/manifest/_SUCCESS")
+    if complete:
+        new_path = spark._jvm.org.apache.hadoop.fs.Path
+        data = new_path(f"{staged}/data")
+        fs = data.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listFiles(data, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if file.getName().startswith("part-"):
+                inside = file.getParent().toString().split("/_compacting/data", 1)[1]
+                fs.mkdirs(new_path(root + inside))
+                fs.rename(file, new_path(f"{root}{inside}/{COMPACTED}{file.getName()}"))
+        for row in spark.read.parquet(f"{staged}/manifest").toLocalIterator():
+            fs.delete(new_path(spark._jvm.java.net.URI(row["file"])), False)
+    remove(spark, staged)
+    return complete
 
 
 def written(spark: SparkSession, path: str, schema=None) -> dict[str, int]:

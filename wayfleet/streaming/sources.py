@@ -24,8 +24,8 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, *, file
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int | None = None,
-                   glob: str = "*.parquet") -> DataFrame:
-    """New Parquet files of a folder, partition columns included."""
+                   glob: str = "part-*.parquet") -> DataFrame:
+    """New Parquet files of a folder, partition columns included. Compacted files have other names and are not new."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
