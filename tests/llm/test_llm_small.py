@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wayfleet.llm import chat, language, lengths, licenses, mixing, outliers, simhash, toxicity, warc, winnowing
 from wayfleet.session import scratch
 
-DOCS = "doc_id long, text string, lang string, source string, size long, taken string"
+DOCS = "doc_id long, text string, lang string, source string, size long, taken string, row_key int, __key string, score int"
 ROWS = [
     (1, "one two three four five six seven eight nine ten eleven", "en", "b", 7, "x"),
     (2, None, None, None, None, None),
@@ -23,7 +23,7 @@ ROWS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame(ROWS, DOCS).repartition(3)
+    return spark.createDataFrame([(*row, 1, "k", 2) for row in ROWS], DOCS).repartition(3)
 
 
 @pytest.fixture(scope="module")

@@ -216,4 +216,4 @@ def judge(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def good_documents(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The kept documents, as they were."""
     bad = judge(documents, rules).where("not kept").select(F.col("row_key").alias("__key")).distinct()
-    return documents.join(bad, row_digest(F.col("doc_id"), F.col("text")) == F.col("__key"), "left_anti")
+    return documents.join(bad, row_digest(documents["doc_id"], documents["text"]) == bad["__key"], "left_anti")

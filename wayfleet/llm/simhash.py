@@ -389,8 +389,8 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """One document of every group of ``similar_groups``, as it was: that with the smallest id (ids before nulls), of equal rows one."""
     first = similar_groups(documents).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
     keys = first.select(F.col("first.row_key").alias("__key"))
-    keyed = documents.withColumn("__row", row_digest(F.col("doc_id"), F.col("text")))
-    return keyed.join(keys, F.col("__row") == F.col("__key"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+    keyed = documents.withColumn("__wayfleet_row", row_digest(F.col("doc_id"), F.col("text")))
+    return keyed.join(keys, keyed["__wayfleet_row"] == keys["__key"], "left_semi").dropDuplicates(["__wayfleet_row"]).drop("__wayfleet_row")
 
 
 def hexed(fingerprint: Column) -> Column:

@@ -343,4 +343,4 @@ def _posteriors(batches: Iterator[pa.RecordBatch], model: LabelModel, voters: in
 def harmless_documents(documents: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> DataFrame:
     """The documents scored below 0.5, as they were."""
     bad = score(documents, labels, learn, settings).where("score >= 0.5").select(F.col("row_key").alias("__key")).distinct()
-    return documents.join(bad, row_digest(F.col("doc_id"), F.col("text")) == F.col("__key"), "left_anti")
+    return documents.join(bad, row_digest(documents["doc_id"], documents["text"]) == bad["__key"], "left_anti")

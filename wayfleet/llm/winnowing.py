@@ -164,4 +164,4 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without a word inside a benchmark window, as they were."""
     dirty = decontaminate(documents, benchmark, **options).where("n_hit > 0").select(F.col("row_key").alias("__key")).distinct()
-    return documents.join(dirty, row_digest(F.col("doc_id"), F.col("text")) == F.col("__key"), "left_anti")
+    return documents.join(dirty, row_digest(documents["doc_id"], documents["text"]) == dirty["__key"], "left_anti")
