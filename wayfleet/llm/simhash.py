@@ -300,11 +300,14 @@ def _link_chunks(batches: Iterator[pa.RecordBatch], tables: Tables) -> Iterator[
 def links(nodes: DataFrame, tables: Tables = Tables(), chunk: int = CHUNK) -> DataFrame:
     """Edges (a, b) between nodes (id, prints) that connect exactly those that chains of linked pairs connect.  Ids are distinct 64-bit numbers."""
     bounded_batches(nodes.sparkSession)
-    places = [(t, n, m) for t in range(tables.count) for n, m in enumerate(tables.masks)]
-    entries = [F.struct(
-        F.lit(t * len(tables.masks) + n).alias("mask"), F.col("prints")[t].bitwiseAND(F.lit(_signed(m))).alias("pattern"), gray_rank(F.col("prints")[t]).alias("rank")) for t, n, m in places]
+    per_table = len(tables.masks)
+    # One row per table, then one per mask: the rank is worked out once, and the plan stays small however many masks there are.
+    listed = nodes.select("id", "prints", F.posexplode("prints").alias("table", "print")).withColumn("rank", gray_rank(F.col("print")))
+    masked = listed.select("id", "prints", "table", "print", "rank", F.posexplode(F.array(*[F.lit(_signed(m)) for m in tables.masks])).alias("n", "bits"))
     order = ["mask", "pattern", "rank", "id"]
-    ranked = nodes.select("id", "prints", F.explode(F.array(*entries)).alias("at")).select("at.*", "id", "prints").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked = masked.select(
+        (F.col("table") * per_table + F.col("n")).alias("mask"), F.col("print").bitwiseAND(F.col("bits")).alias("pattern"), "rank", "id", "prints",
+    ).repartitionByRange(*order).sortWithinPartitions(*order)
     found = settle(ranked.select("mask", "id", "prints").mapInArrow(lambda it: _link_runs(it, tables, chunk), _OUT_DDL), "gray-index")
     inside = found.where("a is not null").select("a", "b")
     chunks = found.where("prints is not null").drop("a", "b")
