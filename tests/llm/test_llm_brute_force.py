@@ -77,19 +77,19 @@ def test_links_with_balls_and_cut_nodes(spark, seed, chunk):
 
 @pytest.mark.parametrize("chunk", [2048, 7])
 def test_links_over_several_tables(spark, chunk):
-    """A pair counts if the first fingerprint is near, or another one is and all others together are."""
+    """A pair counts if the first fingerprint is near, or another one is and the proofs are."""
     draw = random.Random(9)
-    tables = simhash.Tables(count=3, alone=1, total=12)
-    base = [[draw.getrandbits(64) for _ in range(3)] for _ in range(6)]
+    tables = simhash.Tables(count=3, alone=1, proofs=2, total=9)
+    base = [[draw.getrandbits(64) for _ in range(5)] for _ in range(6)]
     flip = lambda x, n: x ^ sum(1 << b for b in draw.sample(range(64), n))
     nodes = [tuple(flip(x, draw.randint(0, 7)) for x in draw.choice(base)) for _ in range(150)]
     signed = [[x - (1 << 64) if x >> 63 else x for x in n] for n in nodes]
-    frame = spark.createDataFrame(list(enumerate(signed)), "id long, prints array<long>")
+    frame = spark.createDataFrame([(n, x[:3], x[3:]) for n, x in enumerate(signed)], "id long, prints array<long>, proofs array<long>")
     roots = {r.node: r.root for r in components.connected(simhash.links(frame, tables, chunk)).collect()}
 
     def linked(a, b):
         apart = [(x ^ y).bit_count() for x, y in zip(nodes[a], nodes[b])]
-        return apart[0] <= 4 or min(apart[1:]) <= 4 and sum(apart[1:]) <= 12
+        return apart[0] <= 4 or min(apart[1:3]) <= 4 and sum(apart[3:]) <= 9
 
     assert {n: roots.get(n, n) for n in range(len(nodes))} == groups(list(range(len(nodes))), linked)
 
