@@ -34,13 +34,17 @@ LEXICONS = {
     "insult_es": "idiota idiotas estúpido estúpida imbécil tonto payaso inútil patético fracasado cretino",
     "vulgar_es": "mierda puta puto cabrón gilipollas joder escoria basura asqueroso coño",
 }
-# Patterns over lower-cased text.
+# Patterns over lower-cased text, each with the pieces of text one of which any match contains.
 PATTERNS = {
-    "you_are": r"\b(?:you|u)(?: are|'re|r| all)? (?:a |an |such |so |all |just |nothing )*(?:idiot|stupid|dumb|moron|loser|trash|pathetic|worthless|disgusting|scum|clown)",
-    "go_away": r"\b(?:shut up|go to hell|drop dead|get lost|kill yourself|kys|screw you|f[*u]ck (?:you|off))\b",
-    "masked": r"\b[fsbca][*@#$!]{2,}[a-z]*\b|\bf\*+\w*|\bs\*+t\b",
-    "nobody": r"\b(?:nobody|no one) (?:likes|loves|wants|cares about) (?:you|them|him|her)\b",
-    "hate": r"\b(?:i|we) (?:hate|despise|loathe) (?:you|them|those|these|all)\b",
+    "you_are": (
+        r"\b(?:you|u)(?: are|'re|r| all)? (?:a |an |such |so |all |just |nothing )*(?:idiot|stupid|dumb|moron|loser|trash|pathetic|worthless|disgusting|scum|clown)",
+        "idiot stupid dumb moron loser trash pathetic worthless disgusting scum clown"),
+    "go_away": (
+        r"\b(?:shut up|go to hell|drop dead|get lost|kill yourself|kys|screw you|f[*u]ck (?:you|off))\b",
+        "shut hell dead lost yourself kys screw fuck f*ck"),
+    "masked": (r"\b[fsbca][*@#$!]{2,}[a-z]*\b|\bf\*+\w*|\bs\*+t\b", "* @ # $ !"),
+    "nobody": (r"\b(?:nobody|no one) (?:likes|loves|wants|cares about) (?:you|them|him|her)\b", "likes loves wants cares"),
+    "hate": (r"\b(?:i|we) (?:hate|despise|loathe) (?:you|them|those|these|all)\b", "hate despise loathe"),
 }
 
 WORD = r"[^\W\d_]+"
@@ -118,7 +122,7 @@ def _read(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
     f: Features = shared.value
     word = re.compile(WORD)
     lexicons = [frozenset(v.split()) for v in LEXICONS.values()]
-    patterns = [re.compile(p) for p in PATTERNS.values()]
+    patterns = [(re.compile(p), pieces.split()) for p, pieces in PATTERNS.values()]
     first_mined = len(lexicons) + len(patterns)
     any_insult = frozenset().union(*lexicons)
     for batch in batches:
@@ -142,8 +146,9 @@ def _read(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]
             named = any_insult & seen.keys()
             for v, lexicon in enumerate(lexicons):
                 bits |= (not lexicon.isdisjoint(named)) << v
-            for v, pattern in enumerate(patterns):
-                bits |= (pattern.search(low) is not None) << (len(lexicons) + v)
+            for v, (pattern, pieces) in enumerate(patterns):
+                if any(piece in low for piece in pieces):
+                    bits |= (pattern.search(low) is not None) << (len(lexicons) + v)
             for i in found:
                 bits |= 1 << (first_mined + int(f.voter_of[i]))
             # Two voters on how much there is: several different words, and a high share of them.
