@@ -169,17 +169,23 @@ def _levels_top(level: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.nd
 
 
 def _forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (member, root) that connect what the pairs connect: one for each place that is no root."""
-    label = np.arange(len(ids))
+    """Edges (member, root) that connect what the pairs connect: one for each place that is no root.
+
+    The root is the least id, so that index nodes which share members tend to give the same edges.
+    """
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    label = place.copy()
     while len(i):
         before = label.copy()
         np.minimum.at(label, i, label[j])
         np.minimum.at(label, j, label[i])
-        label = label[label]
+        label = label[order[label]]
         if np.array_equal(label, before):
             break
-    members = np.flatnonzero(label != np.arange(len(ids)))
-    return ids[members], ids[label[members]]
+    members = np.flatnonzero(label != place)
+    return ids[members], ids[order[label[members]]]
 
 
 _OUT = pa.schema([
