@@ -109,6 +109,40 @@ def test_stage_finds_near_copies_and_leaves_the_rest(spark):
     assert kept >= set(range(25)) and len(kept - set(range(25))) <= 1
 
 
+def edited(words, kind, similarity, fresh):
+    """A copy with its tail cut, text appended or one block replaced, so that its Jaccard similarity of shingles is about the given one."""
+    n = len(words)
+    if kind == "cut":
+        return words[: round(n * similarity)]
+    if kind == "appended":
+        return words + fresh[: round(n / similarity) - n]
+    size = round(n * (1 - similarity) / (1 + similarity))
+    return words[: n // 3] + fresh[:size] + words[n // 3 + size :]
+
+
+def similarity_of(a, b, size=5):
+    x, y = ({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_stage_finds_cut_appended_and_replaced_blocks(spark):
+    draw = random.Random(11)
+    vocabulary = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9))) for _ in range(900)]
+    wording = lambda n: [draw.choice(vocabulary[:40] if draw.random() < 0.4 else vocabulary) for _ in range(n)]
+    rows, kinds = [], {}
+    for n in range(240):
+        kind, words = ("cut", "appended", "replaced")[n % 3], wording(draw.randint(100, 500))
+        copy = edited(words, kind, draw.uniform(0.84, 0.92), wording(200))
+        if 0.82 <= similarity_of(words, copy) <= 0.9:
+            rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(copy))]
+            kinds[n] = kind
+    root = {r.doc_id: r.root for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind in ("cut", "appended", "replaced"):
+        mine = [n for n, k in kinds.items() if k == kind]
+        assert len(mine) > 30 and sum(root[2 * n] == root[2 * n + 1] for n in mine) >= 0.95 * len(mine), kind
+    assert len(set(root.values())) >= len(kinds)
+
+
 def test_search_equals_all_pairs():
     draw = np.random.default_rng(5)
     for n, m in ((1, 1), (3, 700), (500, 40), (300, 300)):
