@@ -2,6 +2,7 @@
 
 import hashlib
 import base64
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,6 +201,27 @@ def test_quality(spark, docs, nothing):
     assert outliers.good_documents(docs).count() == 0
 
 
+def test_quality_rejects_each_kind_of_outlier(spark):
+    """With the rules as they are used: half the lines repeated, ten symbols in a hundred words, nearly half the words repeated, words of odd length."""
+    draw = random.Random(5)
+    vocabulary = ["".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 9))) for _ in range(3000)]
+    line = lambda n: " ".join(draw.choice(vocabulary) for _ in range(n))
+    rows = [(n, "\n".join(line(draw.randint(5, 25)) for _ in range(draw.randint(11, 30))), "en", f"s{n % 2}") for n in range(400)]
+    once = [line(2) for n in range(20)]
+    again = draw.sample(once, 20)
+    passage = line(45)
+    rows += [
+        (1000, "\n".join([*once, *again]), "en", "s0"),
+        (1001, " ".join(line(9) + " #" for _ in range(12)), "en", "s0"),
+        (1002, f"{passage} {line(60)} {passage} {line(60)}", "en", "s0"),
+        (1003, " ".join(draw.choice(vocabulary) + draw.choice(vocabulary) for _ in range(200)), "en", "s1"),
+    ]
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [i for i in (1000, 1001, 1002, 1003) if got[i].kept] == []
+    assert sum(not got[n].kept for n in range(400)) <= 2
+
+
 def test_toxicity(spark, docs, nothing):
     everything = F.lit(True)
     got = toxicity.score(docs, labels(spark), everything).collect()

@@ -9,6 +9,7 @@ its group is too large.  All statistics cover all documents.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,14 +25,15 @@ STATS = ("word_length", "symbols", "dup_lines", "repeats")
 
 @dataclass(frozen=True)
 class Rules:
-    """``core``: share of documents the determinant is minimised over.  ``cutoff``: largest squared distance kept, the 1 - 1e-7 quantile
-    of chi-squared with 4 degrees of freedom.  ``least_spread``: standard deviations of the four statistics are taken as these at least,
-    so that a statistic that hardly varies in clean text does not reject on a trifle.  ``pooled``: weight, in documents, of the estimate over
+    """``core``: share of documents the determinant is minimised over; their covariance is widened to that of all under normality.
+    ``cutoff``: largest squared distance kept, the 0.999 quantile of chi-squared with 4 degrees of freedom.  ``least_spread``: standard
+    deviations of the four statistics over a group are taken as these at least, so that a statistic that hardly varies in clean text does not reject on a
+    trifle; the sampling error of each text, which its length gives, comes on top.  ``pooled``: weight, in documents, of the estimate over
     all groups in each group's own, which carries small groups.  ``rounds``: concentration steps."""
 
     core: float = 0.75
-    cutoff: float = 38.2
-    least_spread: tuple[float, ...] = (0.10, 0.25, 0.20, 0.20)
+    cutoff: float = 18.47
+    least_spread: tuple[float, ...] = (0.05, 0.05, 0.05, 0.05)
     pooled: float = 200.0
     rounds: int = 5
 
@@ -102,6 +104,28 @@ def _vector() -> Column:
     )
 
 
+def consistency(core: float) -> float:
+    """By how much the covariance of the ``core`` share of normal vectors nearest to their centre falls short of that of all (4 statistics)."""
+    if core >= 1:
+        return 1.0
+    low, high = 0.0, 200.0
+    for _ in range(80):
+        q = (low + high) / 2
+        low, high = (q, high) if 1 - math.exp(-q / 2) * (1 + q / 2) < core else (low, q)
+    return core / (1 - math.exp(-q / 2) * (1 + q / 2 + q * q / 8))
+
+
+def _sampling_variance(n: np.ndarray, lines: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Variance of each statistic of a text around its group's ``centre`` that comes from its length alone.
+
+    One word's length varies by about 0.6 of the mean; symbols are counts, with one more event than expected; lines are trials of their own;
+    repeated words come in passages, nine to one.
+    """
+    rate = np.maximum(0.0, np.expm1(centre[:, 1])) / 20
+    slope = 20 / (n + 5) / (1 + 20 * rate)
+    return np.column_stack([0.36 / n, slope**2 * (rate * n + 1), 0.25 / (lines + 5), 0.25 * 9 / (n + 50)])
+
+
 _P = len(STATS)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 _BINS = 512
@@ -123,9 +147,9 @@ def _moments() -> list[Column]:
 
 def _invert(batches: Iterator, rules: Rules) -> Iterator:
     """Groups' moments, with those of all groups beside them, to centre and inverse covariance."""
-    spread = np.array(rules.least_spread)
+    spread, widen = np.array(rules.least_spread), consistency(rules.core)
     for frame in batches:
-        centres, inverses = [], []
+        centres, inverses, covs = [], [], []
         for row in frame.itertuples(index=False):
             n, all_n = row.n, row.all_n
             mine = np.array([getattr(row, f"s{i}") for i in range(_P)]), _square([getattr(row, f"q{i}{j}") for i, j in _PAIRS])
@@ -133,14 +157,15 @@ def _invert(batches: Iterator, rules: Rules) -> Iterator:
             weight = n + rules.pooled
             mean = (mine[0] + rules.pooled * whole[0] / all_n) / weight
             second = (mine[1] + rules.pooled * whole[1] / all_n) / weight
-            cov = second - np.outer(mean, mean)
+            cov = (second - np.outer(mean, mean)) * widen
             # Floors on the scale of each statistic; its correlations stay.
             lift = np.maximum(0.0, spread**2 - np.diag(cov))
             cov = cov + np.diag(lift)
             inv = np.linalg.inv(cov)
             centres.append(mean.tolist())
             inverses.append([float(inv[i, j]) for i, j in _PAIRS])
-        yield frame[["lang", "source"]].assign(centre=centres, inverse=inverses)
+            covs.append([float(cov[i, j]) for i, j in _PAIRS])
+        yield frame[["lang", "source"]].assign(centre=centres, inverse=inverses, cov=covs)
 
 
 def _square(upper: list[float]) -> np.ndarray:
@@ -151,11 +176,11 @@ def _square(upper: list[float]) -> np.ndarray:
 
 
 def _estimate(moments: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, source, centre, inverse) from summed moments; groups are rows here, a few numbers each."""
+    """(lang, source, centre, inverse, cov) from summed moments; groups are rows here, a few numbers each."""
     names = ["n", *[f"s{i}" for i in range(_P)], *[f"q{i}{j}" for i, j in _PAIRS]]
     whole = moments.agg(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()
     both = moments.withColumn("all", whole).select("lang", "source", *names, *[F.col("all")[c].alias(f"all_{c}") for c in names])
-    return settle(both.mapInPandas(lambda it: _invert(it, rules), "lang string, source string, centre array<double>, inverse array<double>"), "estimates")
+    return settle(both.mapInPandas(lambda it: _invert(it, rules), "lang string, source string, centre array<double>, inverse array<double>, cov array<double>"), "estimates")
 
 
 def _with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -164,7 +189,7 @@ def _with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(lang, source, centre, inverse) for every group of ``rows`` (lang, source, x).
+    """(lang, source, centre, inverse, cov) for every group of ``rows`` (lang, source, x).
 
     The start is the group's median vector with the least spreads.  Each step keeps, of
     every group, the bins of smallest distance that hold ``core`` of its documents; the last bin needed is kept whole.
@@ -172,7 +197,8 @@ def robust_estimates(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     start = rows.groupBy("lang", "source").agg(*[F.percentile_approx(F.col("x")[i], 0.5, 1000).alias(f"m{i}") for i in range(_P)])
     spread = [1.0 / s**2 for s in rules.least_spread]
     estimates = start.select("lang", "source", F.array(*[F.col(f"m{i}").cast("double") for i in range(_P)]).alias("centre"),
-                             F.array(*[F.lit(spread[i] if i == j else 0.0) for i, j in _PAIRS]).alias("inverse"))
+                             F.array(*[F.lit(spread[i] if i == j else 0.0) for i, j in _PAIRS]).alias("inverse"),
+                             F.array(*[F.lit(1 / spread[i] if i == j else 0.0) for i, j in _PAIRS]).alias("cov"))
     estimates = settle(estimates, "estimates")
     for _ in range(rules.rounds):
         # Bins are even in the logarithm of the distance: fine where documents are dense, and none is out of range.
@@ -194,23 +220,44 @@ def _order(column: str | None):
     return group.orderBy(column).rowsBetween(Window.unboundedPreceding, 0) if column else group
 
 
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their group's centre and covariance to squared distances, each text's sampling error included; null where the base rules fail."""
+    names = ["doc_id", "row_key", *_COUNTS, "base_failed"]
+    for batch in batches:
+        rows = np.flatnonzero(~batch.column("base_failed").to_numpy(zero_copy_only=False).astype(bool))
+        part = batch.take(pa.array(rows))
+        distance = np.full(batch.num_rows, np.nan)
+        if len(rows):
+            x, centre, upper = (part.column(c).flatten().to_numpy().reshape(len(rows), -1) for c in ("x", "centre", "cov"))
+            cov = np.zeros((len(rows), _P, _P))
+            for k, (i, j) in enumerate(_PAIRS):
+                cov[:, i, j] = cov[:, j, i] = upper[:, k]
+            n, lines = (part.column(c).to_numpy().astype(float) for c in ("n_words", "n_lines"))
+            cov[:, range(_P), range(_P)] += _sampling_variance(n, lines, centre)
+            apart = x - centre
+            distance[rows] = np.einsum("ni,ni->n", apart, np.linalg.solve(cov, apart[:, :, None])[:, :, 0])
+        yield pa.record_batch([*[batch.column(c) for c in names], pa.array(distance, mask=np.isnan(distance))], [*names, "distance"])
+
+
 def judge(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(doc_id, row_key, counts, base_failed, distance, kept) for every document.
 
     Documents that fail the base rules are not kept and take no part in the estimates: their ratios say little.  Null or
     empty texts have no words, so they fail.  Null languages and sources are groups of their own.  ``distance`` is the squared
-    distance from the group, null for failed documents.  Repeated rows repeat their result, an empty table gives an empty one, and
+    distance from the group in units of the group's spread and the text's own sampling error, null for failed documents.  Repeated rows repeat their result, an empty table gives an empty one, and
     other columns are ignored.
     """
     counted = settle(text_counts(documents).withColumn("x", _vector()).withColumn("base_failed", base_failed()), "counts")
     fine = counted.where("not base_failed").select("lang", "source", "x")
     estimates = robust_estimates(fine, rules)
-    e = estimates.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "centre", "inverse")
+    e = estimates.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "centre", "cov")
     same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     placed = counted.join(e, same, "left")
-    distance = F.when(~F.col("base_failed"), _distance(F.col("centre"), F.col("inverse")))
-    return placed.withColumn("distance", distance).select(
-        "doc_id", "row_key", *_COUNTS, "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= rules.cutoff)).alias("kept"))
+    id_type = documents.schema["doc_id"].dataType.simpleString()
+    counts = ", ".join(f"{c} long" for c in _COUNTS)
+    done = placed.select("doc_id", "row_key", *_COUNTS, "base_failed", "x", "centre", "cov").mapInArrow(
+        _judged, f"doc_id {id_type}, row_key string, {counts}, base_failed boolean, distance double")
+    return done.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= rules.cutoff))
 
 
 def good_documents(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
