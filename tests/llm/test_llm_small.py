@@ -3,6 +3,7 @@
 import hashlib
 import base64
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,62 @@ def test_licenses(spark, docs, nothing):
     assert licenses.scan_licenses(docs).count() == len(ROWS) and licenses.scan_licenses(nothing).count() == 0
 
 
+def matches_of(parsed):
+    """Texts that a parsed pattern matches: every alternative, options with and without, white space as line breaks."""
+    out = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            kinds = [(str(k), v) for k, v in value]
+            if kinds[0][0] == "NEGATE":
+                more = ["x"]
+            else:
+                more = [{"LITERAL": lambda v: chr(v), "RANGE": lambda v: chr(v[0]), "CATEGORY": lambda v: "\n"}[kinds[0][0]](kinds[0][1])]
+        elif name == "NOT_LITERAL":
+            more = ["x"]
+        elif name == "BRANCH":
+            more = [t for one in value[1] for t in matches_of(one)]
+        elif name == "SUBPATTERN":
+            more = matches_of(value[3])
+        elif name == "MAX_REPEAT":
+            low, high, inner = value
+            more = [t * max(low, 1) for t in matches_of(inner)] + [""] * (low == 0)
+        else:
+            assert name == "ASSERT_NOT" or name == "AT", name
+            more = [""]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_gates_let_every_match_through(monkeypatch):
+    texts = [b"\n" + t.encode() + b"\n" for r in licenses.rules() for t in matches_of(re._parser.parse(r.pattern.pattern.decode()))]
+    assert len(texts) > 1000
+    gated, first_gate = [licenses.detections(t) for t in texts], licenses.FIRST_GATE
+    everything = tuple(((b"",), (r,)) for r in licenses.rules())
+    monkeypatch.setattr(licenses, "FIRST_GATE", (b"",))
+    monkeypatch.setattr(licenses, "_gates", lambda: everything)
+    sample = random.Random(2).sample(range(len(texts)), 1000)
+    for n in sample:
+        assert gated[n] == licenses.detections(texts[n]), texts[n]
+    for r in licenses.rules():
+        for t in matches_of(re._parser.parse(r.pattern.pattern.decode())):
+            folded = b" ".join(t.encode().split())
+            assert r.pattern.search(b"\n" + t.encode() + b"\n") and any(k in folded for k in r.keywords), (r, t)
+            assert any(w in folded for w in first_gate), (r, t)
+
+
+@pytest.mark.parametrize("text, label", [
+    (b"redistribution and\nuse in source and binary forms with or without\nmodification are permitted", "bsd"),
+    (b"released into the public\ndomain", "public-domain"),
+    (b"creative\ncommons attribution 4.0 license", "cc-by"),
+    (b"under the psf license", "python"),
+])
+def test_licenses_in_wrapped_text(text, label):
+    assert label in {r.label for _, _, r in licenses.detections(text)}
+
+
 def test_containment_suppression():
     text = b"licensed under the gnu lesser general public license version 2.1"
     found = licenses.detections(text)

@@ -2,7 +2,8 @@
 
 A family of licenses is one line of fixed values; the kinds of signature are five templates.  Families times
 templates give a few hundred patterns.  A text first meets the gate: plain keywords that any pattern
-needs.  Then only patterns whose own keyword is in the text are run.  Of the detections, one that lies
+needs.  Then only patterns whose own keyword is in the text are run.  Keywords are looked for with every run of white space as one blank, since
+patterns match any run.  Of the detections, one that lies
 inside another of the same or a higher priority is suppressed.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from wayfleet.llm.common import bounded_batches, flat
 from wayfleet.llm.words import LOWER, find_words
 
-# Label | keyword that every pattern of the family needs | identifiers | names as patterns | links, "-" if none.
+# Label | keyword that every name of the family needs, or several without blanks between, one of which it needs | identifiers | names as patterns | links, "-" if none.
 FAMILIES = """
 agpl | affero | agpl-3\\.0(?:-only|-or-later)?|agpl-1\\.0 | (?:gnu )?affero general public license | gnu\\.org/licenses/agpl
 lgpl | lesser | lgpl-(?:2\\.0|2\\.1|3\\.0)(?:-only|-or-later)? | (?:gnu )?lesser general public license | gnu\\.org/licenses/(?:old-licenses/)?lgpl[^ ]*
@@ -51,10 +52,10 @@ busl | business source | busl-1\\.1 | business source license | mariadb\\.com/bs
 sspl | server side | sspl-1\\.0 | server side public license | mongodb\\.com/licensing/server-side-public-license
 elastic | elastic | elastic-2\\.0 | elastic license | elastic\\.co/licensing/elastic-license
 zlib | zlib | zlib(?:-acknowledgement)? | zlib(?:/libpng)? license | zlib\\.net/zlib_license
-libpng | libpng | libpng(?:-2\\.0)? | (?:png reference library|libpng) license | libpng\\.org/pub/png/src/libpng-license
+libpng | libpng|png reference | libpng(?:-2\\.0)? | (?:png reference library|libpng) license | libpng\\.org/pub/png/src/libpng-license
 openssl | openssl | openssl | openssl license | openssl\\.org/source/license
 php | php | php-(?:3\\.0|3\\.01) | php license | php\\.net/license
-python | python | psf-2\\.0|python-2\\.0 | (?:python software foundation|psf) license | docs\\.python\\.org/[^ ]*license
+python | python|psf | psf-2\\.0|python-2\\.0 | (?:python software foundation|psf) license | docs\\.python\\.org/[^ ]*license
 ruby | ruby | ruby | ruby license | ruby-lang\\.org/[^ ]*license
 postgresql | postgresql | postgresql | postgresql license | postgresql\\.org/about/licen[cs]e
 vim | vim | vim | vim license | -
@@ -64,7 +65,7 @@ icu | icu | icu | icu license | -
 ntp | ntp | ntp(?:-0)? | ntp license | -
 curl | curl | curl | curl license | curl\\.se/docs/copyright
 unlicense | unlicense | unlicense | (?:the )?unlicense | unlicense\\.org
-wtfpl | wtfpl | wtfpl | do what the f[^ ]* you want to public license | wtfpl\\.net
+wtfpl | you want to public | wtfpl | do what the f[^ ]* you want to public license | wtfpl\\.net
 cc0 | cc0 | cc0-1\\.0 | cc0(?: 1\\.0)?(?: universal)? (?:license|dedication) | creativecommons\\.org/publicdomain/zero
 cc-by-nc-sa | noncommercial-sharealike | cc-by-nc-sa-[1234]\\.[05] | creative commons attribution-noncommercial-sharealike[^\\n]{0,30} license | creativecommons\\.org/licenses/by-nc-sa
 cc-by-nc-nd | noncommercial-noderiv | cc-by-nc-nd-[1234]\\.[05] | creative commons attribution-noncommercial-noderiv[^\\n]{0,30} license | creativecommons\\.org/licenses/by-nc-nd
@@ -87,7 +88,7 @@ mulan | mulan | mulanpsl-[12]\\.0 | mulan permissive software license | license\
 ms-pl | microsoft public | ms-pl | microsoft public license | opensource\\.org/licenses?/ms-pl
 ms-rl | microsoft reciprocal | ms-rl | microsoft reciprocal license | opensource\\.org/licenses?/ms-rl
 apsl | apple public | apsl-(?:1\\.[012]|2\\.0) | apple public source license | opensource\\.apple\\.com/apsl
-ncsa | illinois | ncsa | (?:university of illinois(?:/ncsa)?|ncsa) open source license | opensource\\.org/licenses?/ncsa
+ncsa | illinois|ncsa | ncsa | (?:university of illinois(?:/ncsa)?|ncsa) open source license | opensource\\.org/licenses?/ncsa
 upl | universal permissive | upl-1\\.0 | universal permissive license | oss\\.oracle\\.com/licenses/upl
 json | json | json | json license | json\\.org/license
 beerware | beer | beerware | beer-?ware license | -
@@ -101,12 +102,12 @@ bsd | redistribution and use | redistribution and use in source and binary forms
 bsd-3-clause | endorse or promote | neither the name of [^.]{0,120} may be used to endorse or promote products
 bsd-4-clause | advertising materials | all advertising materials mentioning features or use of this software must display
 zlib | misrepresented | the origin of this software must not be misrepresented
-bsl | machine-executable | permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+bsl | person or organization | permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
 unlicense | unencumbered | this is free and unencumbered software released into the public domain
 wtfpl | you just do what | you just do what the f[^ ]* you want to
-gpl | free software foundation | redistribute it and/or modify it under the terms of the gnu general public license
-lgpl | free software foundation | redistribute it and/or modify it under the terms of the gnu (?:lesser|library) general public license
-agpl | free software foundation | redistribute it and/or modify it under the terms of the gnu affero general public license
+gpl | redistribute it | redistribute it and/or modify it under the terms of the gnu general public license
+lgpl | redistribute it | redistribute it and/or modify it under the terms of the gnu (?:lesser|library) general public license
+agpl | redistribute it | redistribute it and/or modify it under the terms of the gnu affero general public license
 proprietary | all rights reserved | all rights reserved
 public-domain | public domain | (?:released|placed|dedicated|dedicate) (?:in)?to the public domain
 """
@@ -129,7 +130,7 @@ BETWEEN_WORDS = rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 @dataclass(frozen=True)
 class Rule:
     priority: int
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     label: str
     confidence: float
     pattern: re.Pattern
@@ -148,19 +149,19 @@ def rules() -> tuple[Rule, ...]:
             body = body.replace(" ?", r"\s*").replace(" ", r"\s+")
             # A document may name an identifier or a link without the family's keyword; their own fixed words gate them.
             gate = {"identifier": "spdx", "link": link.split("\\")[0].split("(")[0]}.get(kind, keyword)
-            out.append(Rule(2 * priority, gate.encode(), label, confidence, re.compile(body.encode())))
+            out.append(Rule(2 * priority, tuple(gate.encode().split(b"|")), label, confidence, re.compile(body.encode())))
     for line in WORDINGS.strip().splitlines():
         label, keyword, body = [cell.strip() for cell in line.split(" | ")]
-        out.append(Rule(3, keyword.encode(), label, WORDING[1], re.compile(body.replace(" ", r"\s+").encode())))
+        out.append(Rule(3, (keyword.encode(),), label, WORDING[1], re.compile(body.replace(" ", r"\s+").encode())))
     return tuple(sorted(out, key=lambda r: r.priority))
 
 
 @cache
-def _gates() -> tuple[tuple[bytes, tuple[Rule, ...]], ...]:
-    """Rules by the keyword that gates them."""
-    by: dict[bytes, list[Rule]] = {}
+def _gates() -> tuple[tuple[tuple[bytes, ...], tuple[Rule, ...]], ...]:
+    """Rules by the keywords that gate them."""
+    by: dict[tuple[bytes, ...], list[Rule]] = {}
     for rule in rules():
-        by.setdefault(rule.keyword, []).append(rule)
+        by.setdefault(rule.keywords, []).append(rule)
     return tuple((k, tuple(v)) for k, v in by.items())
 
 
@@ -171,11 +172,12 @@ FIRST_GATE = (b"licen", b"spdx", b"gpl", b"://", b".org/", b".net", b".com/", b"
 
 def detections(low: bytes) -> list[tuple[int, int, Rule]]:
     """(begin, end, rule) in bytes of a lower-cased text, after suppression, in order of place."""
-    if not any(word in low for word in FIRST_GATE):
+    folded = b" ".join(low.split())
+    if not any(word in folded for word in FIRST_GATE):
         return []
     found = []
-    for keyword, gated in _gates():
-        if keyword in low:
+    for keywords, gated in _gates():
+        if any(k in folded for k in keywords):
             for rule in gated:
                 found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(low) if m.end() > m.start()]
     # By priority, then longest first: what lies inside something kept already is suppressed.
