@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.llm import chat, language, lengths, licenses, mixing, outliers, simhash, toxicity, warc, winnowing
+from wayfleet.llm import (
+    chat, language, lengths, licenses, mixing, negatives, outliers, packing, resampling, simhash, toxicity, warc, winnowing)
 from wayfleet.llm.common import settle, table
 from wayfleet.session import pin, scratch
 
@@ -214,3 +215,79 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return found.select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "posterior")
+
+
+@query("op11_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens; only the digest of a piece's ids is kept."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), content=F.crc32)
+    return packed.select("doc_id", "piece", "start", "length", F.col("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+# CRC-32 of a text's bytes in SQL, by the table of single bytes of the reflected polynomial of ISO 3309.
+_CRC_TABLE = "SELECT list(list_reduce([b] || range(1, 9), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) r(b)"
+
+
+@query("op12_resampling", sql=rf"""
+WITH crc AS MATERIALIZED ({_CRC_TABLE}),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents
+), i AS (
+  SELECT coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM benchmark
+), f AS MATERIALIZED (
+  SELECT rid, array_to_string(words[p:p + k - 1], ' ') AS run, count(*) AS n
+  FROM (SELECT rid, words, k, unnest(range(1, len(words) - k + 2)) AS p FROM d, (VALUES (1), (2), (3)) v(k)) GROUP BY ALL
+), g AS MATERIALIZED (
+  SELECT array_to_string(words[p:p + k - 1], ' ') AS run, count(*) AS n
+  FROM (SELECT words, k, unnest(range(1, len(words) - k + 2)) AS p FROM i, (VALUES (1), (2), (3)) v(k)) GROUP BY ALL
+), h AS MATERIALIZED (
+  SELECT run, xor(list_reduce([4294967295] || list_transform(range(0, octet_length(encode(run))), lambda j: ('0x' || substr(x, 2 * j + 1, 2))::BIGINT),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT run, hex(encode(run)) AS x FROM (SELECT DISTINCT run FROM f UNION SELECT DISTINCT run FROM g)), crc
+), s AS (SELECT bucket, sum(n) AS s FROM f JOIN h USING (run) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM g JOIN h USING (run) GROUP BY bucket),
+a AS (
+  SELECT b AS bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t, coalesce((SELECT sum(n) FROM f), 0) AS big_s, coalesce((SELECT sum(n) FROM g), 0) AS big_t
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (big_s + 10000))::DOUBLE / ((s + 1) * (big_t + 10000))::DOUBLE))::BIGINT AS gain FROM a
+), w AS (
+  SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM f JOIN h USING (run) JOIN gains USING (bucket) GROUP BY rid
+), z AS (
+  SELECT rid, doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (rid)
+), r AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM z WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= floor(5 * n / 100) THEN place END AS rank FROM z LEFT JOIN r USING (rid)""")
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark's words."""
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_hard_negatives", sql="""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS no, vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.no AS anchor_no, a.vec_id AS anchor_id, c.no AS no, c.vec_id AS id, a.label = c.label AS same,
+         list_inner_product(a.q, c.q)::BIGINT AS score
+  FROM v a JOIN v c ON a.no <> c.no WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_no ORDER BY score DESC, id, no) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_no, p.no ORDER BY n.score DESC, n.id, n.no)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_no = p.anchor_no AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY rank <= 3""")
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, one vector of seven under its neighbour's label."""
+    vec_id = F.col("vec_id")
+    mixed_up = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", mixed_up), vec_id % 50 == 0)
