@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from wayfleet.llm import negatives, packing, resampling, tokens
+from wayfleet.llm import lengths, negatives, packing, resampling, tokens
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -32,17 +32,22 @@ def test_pieces_encode_as_the_whole_text():
     whole, encoder = whole_encoding(), tokens.Encoder(tokens.read_vocabulary())
     draw = random.Random(1)
     parts = [*" \n\t\r\x0b\x1c\x85\xa0 　​᠎ab1'!é中́", "<|endoftext|>", "'s", "'ll", "  "]
-    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
-    texts += [f"a{chr(c)}b {chr(c)}\n{chr(c)}{chr(c)}  {chr(c)}1" for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
-    assert [encoder.ids(t) for t in texts] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
-    assert [encoder.count(t) for t in texts[:500]] == [len(encoder.ids(t)) for t in texts[:500]]
-
-
-def test_kept_pieces_are_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_PIECES", 5)
-    encoder = tokens.Encoder(tokens.read_vocabulary())
-    text = " ".join(f"word{i}" for i in range(40))
-    assert encoder.ids(text) == encoder.ids(text) and len(encoder._known) <= 5
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 40))) for _ in range(2000)]
+    texts += [f"a{chr(c)}b {chr(c)}\n{chr(c)}{chr(c)}  {chr(c)}1" for c in range(0, 0x30000, 23) if not 0xD800 <= c < 0xE000]
+    long = [" " * 12_000 + "a", "b" + "\n" * 10_001, f"x {' ' * 10_000}<|endoftext|>\ny"]
+    assert [encoder.ids(t).tolist() for t in texts + long] == [e.ids for e in whole.encode_batch(texts + long, add_special_tokens=False)]
+    whole.encode_special_tokens = True
+    plain = tokens.Encoder(tokens.read_vocabulary(), special=False)
+    assert [plain.ids(t).tolist() for t in texts + long] == [e.ids for e in whole.encode_batch(texts + long, add_special_tokens=False)]
+
+
+def test_token_lengths_of_long_runs(spark):
+    """Five million blanks, line ends and tabs, and 25 million characters of words, are counted like any text."""
+    texts = [" " * 5_000_000, "\n" * 5_000_000 + "x", "\t" * 1_200_000, "word " * 5_000_000, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6, "doc_id")
+    got = {r.doc_id: r.n_tokens for r in lengths.token_lengths(docs).collect()}
+    tabs = len(whole_encoding().encode(texts[2], add_special_tokens=False).ids)
+    assert got == {0: 5_000_000, 1: 2_500_002, 2: tabs, 3: 5_000_001, 4: 0, 5: 0}
 
 
 # --- packing --------------------------------------------------------------------------

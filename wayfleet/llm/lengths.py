@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,44 +9,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfleet.llm.common import bounded_batches, settle
-from wayfleet.operators.ordered import running_sums
+from wayfleet.llm.sums import running_sums
+from wayfleet.llm.tokens import encoder_of, read_vocabulary
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-# Fixed value: the published splitting pattern of this vocabulary.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Lengths are summed in blocks of this many, so that no task needs the whole histogram.
 LENGTHS_PER_BLOCK = 256
 
-_ENCODINGS: dict[int, object] = {}
 
-
-def _encoding(ranks: bytes):
-    """The encoder for a vocabulary, built once in each Python worker."""
-    import tiktoken
-
-    known = hash(ranks)
-    if known not in _ENCODINGS:
-        merges = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-        _ENCODINGS[known] = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
-    return _ENCODINGS[known]
-
-
-def token_lengths(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_lengths(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens) of every document: its whole text encoded, special strings as ordinary text.
 
-    Null and empty texts have 0 tokens.  The vocabulary file is read by the driver and broadcast; it
-    is a fixed file of about a megabyte.  Other columns are ignored.
+    Null and empty texts have 0 tokens; texts of any length and any run of white space are encoded whole, by one task.  Equal rows
+    and equal ids each give their own row.  The vocabulary file is read by the driver and broadcast; it
+    is a fixed file of a few megabytes.  Other columns are ignored.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
-    with open(vocabulary, "rb") as file:
-        ranks = spark.sparkContext.broadcast(file.read())
+    shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(ranks.value).encode_ordinary
+        encode = encoder_of(shared.value, special=False).ids
         for batch in batches:
-            lengths = [len(encode(text.as_py() or "")) for text in batch.column("text")]
+            lengths = [len(encode(text.as_py())) for text in batch.column("text")]
             yield pa.record_batch([batch.column("doc_id"), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
     return documents.select("doc_id", "text").mapInArrow(count, f"doc_id {id_type}, n_tokens long")

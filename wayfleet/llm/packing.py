@@ -199,7 +199,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], vocabulary, capacity: int,
         rest = [n for n in batch.schema.names if n != "text"]
         owners, numbers, starts, lengths, ids = [], [], [], [], []
         for row, text in enumerate(batch.column("text")):
-            found = np.array([*encode(text.as_py()), end_id], "<u4")
+            found = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")
             # All pieces but the first are of full length.
             first = (len(found) - 1) % capacity + 1
             for number, to in enumerate(range(first, len(found) + 1, capacity)):
