@@ -39,6 +39,8 @@ class Layout:
     silver = property(lambda self: self._at(self.generation, "silver"))
     undated = property(lambda self: self._at(self.generation, "undated"))
     deltas = property(lambda self: self._at(self.generation, "deltas"))
+    changes = property(lambda self: self._at(self.generation, "changes"))
+    ids = property(lambda self: self._at(self.generation, "event_ids"))
     state = property(lambda self: self._at(self.generation, "current_state"))
     fuel = property(lambda self: self._at(self.generation, "fuel_monthly"))
     alerts = property(lambda self: self._at(self.generation, "alerts"))
@@ -83,7 +85,7 @@ def refresh_products(change: jobs.Change, batch_id: int, layout: Layout, as_of:
         state = state.join(change.bereft, "car_chassis", "left_anti").select(*state.columns)
     snapshots.publish(merge_current_state(fresh, state, as_of), layout.state)
 
-    append_load(run_summary(change.added, batch_id, rules), layout.runs, [], batch_id)
+    append_load(run_summary(change.added, batch_id, rules), layout.runs, [], change.name)
 
 
 def run_summary(delta: DataFrame, batch_id: int, rules=alerts.SLIM_RULES) -> DataFrame:
@@ -114,7 +116,7 @@ def build(spark: SparkSession, layout: Layout, as_of: AsOf = None, files_per_bat
     jobs.refresh_silver(
         spark, layout.bronze, layout.silver, layout.undated, layout.deltas, layout.checkpoint("silver"), as_of,
         then=lambda change, batch_id: refresh_products(change, batch_id, layout, as_of),
-        files_per_batch=files_per_batch,
+        feed=layout.changes, index=layout.ids, files_per_batch=files_per_batch,
     )
 
 

@@ -21,7 +21,7 @@ from wayfleet.registry.telemetry import AS_OF, settle
 from wayfleet.session import scratch
 from wayfleet.sinks import batches, files, snapshots
 from wayfleet.sources import landing, tables
-from wayfleet.streaming import jobs
+from wayfleet.streaming import changes, jobs
 from wayfleet.streaming.sources import drain, parquet_stream
 
 # --- JSON, CSV, Parquet ---------------------------------------------------------------
@@ -233,40 +233,58 @@ def stream_first_delivery(spark, d):
     return spark.read.parquet(f"{out}/data").select("event_id", "user_id")
 
 
-def _silver_files(spark: SparkSession, d: str, out: str) -> str:
-    files.append(dated(silver(events(spark, d, folded=True), AS_OF)), f"{out}/silver", schemas.MONTH_PARTITIONS)
-    return f"{out}/silver"
+def _live_silver(spark: SparkSession, d: str, out: str, after=lambda feed: None) -> str:
+    """Silver from three batches with copies of an event apart, so that later ones rewrite days; ``after`` runs after each. The change feed's folder."""
+    bronze, at = f"{out}/bronze", F.lit("1998-09-02 06:00:00").cast("timestamp")
+    rows = settled(to_bronze(events(spark, d, folded=True).withColumn("file_path", F.lit("feed")), at), f"{out}/rows")
+    # A third of the events come a second time, first with another distance and, half of them, on another day.
+    again = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    wrong = F.col("trip_data").withField("trip_summary.data.tripMileage", F.lit(1e6)).withField("vehicle_telemetry_snapshot.data.engineTempCelsius", F.lit(150).cast("bigint"))
+    moved = F.when(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0, "2024-01-01T00:00:00Z").otherwise(F.col("event_primary_timestamp"))
+    early = rows.filter(again & F.col("event_primary_timestamp").rlike("^2024-01-2.*Z$")).withColumns({
+        "trip_data": wrong, "event_primary_timestamp": moved, "processing_timestamp": F.lit("2000-01-01T00:00:00Z")})
+    lot = F.pmod(F.xxhash64("event_id", "processing_timestamp", "carChassis"), F.lit(2)) + 1
+    for i in range(3):
+        files.append_load(early if i == 0 else rows.filter(lot == i), bronze, schemas.INGEST_PARTITIONS, i)
+        jobs.refresh_silver(spark, bronze, f"{out}/silver", f"{out}/undated", f"{out}/deltas", f"{out}/checkpoint", AS_OF, feed=f"{out}/changes")
+        after(f"{out}/changes")
+    return f"{out}/changes"
 
 
 @query("silver_any_batching", f"""WITH {folded_sql(SILVER)} SELECT event_id, car_chassis, current_mileage_km, trip_distance_km, event_year, event_month, event_day
     FROM silver WHERE event_year IS NOT NULL""")
 def silver_any_batching(spark, d):
-    """Silver from deliveries dealt over several batches, copies of an event apart: the same as from one pass."""
+    """Silver from deliveries dealt over several batches, copies of an event apart, some on another day: the same as from one pass."""
     out = scratch(spark, "batches")
-    bronze, at = f"{out}/bronze", F.lit("1998-09-02 06:00:00").cast("timestamp")
-    rows = settled(to_bronze(events(spark, d, folded=True).withColumn("file_path", F.lit("feed")), at), f"{out}/rows")
-    lot = F.pmod(F.xxhash64("event_id", "processing_timestamp", "carChassis"), F.lit(3))
-    for i in range(3):
-        files.append_load(rows.filter(lot == i), bronze, schemas.INGEST_PARTITIONS, i)
-        jobs.refresh_silver(spark, bronze, f"{out}/silver", f"{out}/undated", f"{out}/deltas", f"{out}/checkpoint", AS_OF)
+    _live_silver(spark, d, out)
     stored = spark.read.schema(jobs.silver_schema(spark)).parquet(f"{out}/silver")
     return stored.select("event_id", "car_chassis", "current_mileage_km", "trip_distance_km", *schemas.EVENT_PARTITIONS)
 
 
+@query("change_feed", f"""WITH {folded_sql(SILVER)} SELECT event_id, car_chassis, trip_distance_km, event_year, event_month, event_day, CAST(1 AS BIGINT) AS net
+    FROM silver WHERE event_year IS NOT NULL""")
+def change_feed(spark, d):
+    """All signed rows of the feed, netted: every event of Silver once, what was withdrawn is gone."""
+    feed = _live_silver(spark, d, scratch(spark, "feed"))
+    rows = spark.read.schema(changes.feed_schema(jobs.silver_schema(spark))).parquet(feed)
+    net = rows.groupBy("event_id", "car_chassis", "trip_distance_km", *schemas.EVENT_PARTITIONS).agg(F.sum(changes.SIGN).alias("net"))
+    return net.filter("net <> 0")
+
+
 @query("stream_alert_log", f"WITH {folded_sql(ALERTS)} SELECT * FROM alerts WHERE event_year IS NOT NULL")
 def stream_alert_log(spark, d):
-    out = scratch(spark, "alerts")
-    jobs.log_alerts(spark, _silver_files(spark, d, out), f"{out}/alerts", f"{out}/checkpoint")
-    return settle(spark.read.schema(schemas.ALERT).parquet(f"{out}/alerts"))
+    """Alerts of a Silver that is rewritten meanwhile: the feed's stream runs after every batch and takes back what went."""
+    out, layout = scratch(spark, "alerts"), jobs.silver_schema(spark)
+    _live_silver(spark, d, out, lambda feed: changes.log_alerts(spark, feed, layout, f"{out}/alerts", f"{out}/alerts-checkpoint"))
+    return settle(changes.read_alerts(spark, f"{out}/alerts"))
 
 
 @query("stream_fuel_monthly", folded_sql(_FUEL_SQL))
 def stream_fuel_monthly(spark, d):
-    out = scratch(spark, "fuelstream")
-    source = _silver_files(spark, d, out)
-    jobs.accumulate_fuel(spark, source, f"{out}/fuel", f"{out}/checkpoint", files_per_batch=3)
-    merged = batches.merged(spark, f"{out}/fuel", jobs.partials_schema(spark), monthly.merge)
-    return settle(monthly.finish(merged).select(*_FUEL_COLUMNS), 9)
+    """Monthly totals of a Silver that is rewritten meanwhile, from the feed, after every batch."""
+    out, layout = scratch(spark, "fuelstream"), jobs.silver_schema(spark)
+    _live_silver(spark, d, out, lambda feed: changes.accumulate_fuel(spark, feed, layout, f"{out}/fuel", f"{out}/fuel-checkpoint"))
+    return settle(monthly.finish(changes.read_fuel(spark, f"{out}/fuel", layout)).select(*_FUEL_COLUMNS), 9)
 
 
 @query("landing_to_products", f"WITH {state_sql('silver WHERE event_year IS NOT NULL', folded=True)} SELECT {_STATE_SAMPLE} FROM state")

@@ -87,6 +87,15 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+
+
 # Compacted files carry this prefix, and streams skip it: what they hold arrived before under other names.
 COMPACTED = "compacted-"
 
@@ -152,6 +161,25 @@ def append_load(df: DataFrame, path: str, partitions: Sequence[str], load_id: in
     replace_partitions(df.withColumn("load_id", F.lit(str(load_id))), path, [*partitions, "load_id"])
 
 
+def write_once(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> bool:
+    """Write ``df`` as a new folder that appears whole: it is written beside, under a hidden name, and renamed once.
+
+    Does nothing if the folder is there. So a repeated batch neither replaces files that a stream has
+    listed nor shows half of them.
+    """
+    spark, target = df.sparkSession, path.rstrip("/")
+    if folder_exists(spark, target):
+        return False
+    parent, name = target.rsplit("/", 1)
+    hidden = f"{parent}/_writing-{name.replace('=', '-')}"
+    writer = spread(df, partitions).write.mode("overwrite").option("compression", "snappy")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(hidden)
+    source, goal = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (hidden, target))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, goal):
+        raise OSError(f"cannot rename {hidden} to {target}")
+    return True
+
+
 def materialise_once(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` unless a finished copy is there, and read it back.
 

@@ -3,7 +3,8 @@ the previous call with the same checkpoint, then stops (``availableNow``)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,17 +12,16 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfleet import schemas
-from wayfleet.functions.alerts import SLIM_RULES, Rule
 from wayfleet.operators import monthly
-from wayfleet.operators.latest import content_hash, latest_per_key
+from wayfleet.operators.latest import latest_per_key
 from wayfleet.operators.upsert import by_name, within_partitions
 from wayfleet.plans.bronze import load_audit, to_bronze
-from wayfleet.plans.gold import alert_log
 from wayfleet.plans.silver import EVENT_RECENCY, dated, silver, undated
-from wayfleet.sinks.batches import apply_batch
-from wayfleet.sinks.files import append_load, materialise_once, refresh_partitions, remove
+from wayfleet.sinks import idindex
+from wayfleet.sinks.files import append_load, folder_names, materialise_once, refresh_partitions, remove
 from wayfleet.sources.landing import accepted, rejected
-from wayfleet.sources.tables import folder_or_empty
+from wayfleet.sources.tables import folder_exists, folder_or_empty
+from wayfleet.streaming.changes import came, difference, feed_schema, publish, went
 from wayfleet.streaming.sources import drain, landing_stream, parquet_stream
 
 
@@ -68,78 +68,78 @@ def land_bronze(spark: SparkSession, landing: str, bronze: str, quarantine: str,
 class Change:
     """What a batch did to Silver, written down: rows it added, vehicles that lost a row, and the days it rewrote."""
 
+    name: str
     added: DataFrame
     bereft: DataFrame
     days: DataFrame
 
 
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id Spark gave the stream when its checkpoint began; a new checkpoint has another one."""
+    if not folder_exists(spark, f"{checkpoint}/metadata"):
+        return None
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def refresh_silver(spark: SparkSession, bronze: str, silver_path: str, undated_path: str, deltas: str,
                    checkpoint: str, as_of=None, then: Callable[[Change, int], None] | None = None,
-                   **source_options) -> StreamingQuery:
+                   feed: str | None = None, index: str | None = None, **source_options) -> StreamingQuery:
     """Bronze -> Silver: each event once, its latest copy, however copies are dealt over batches.
 
     A batch is merged with the days it touches: those of its own rows and those where older copies of its
-    events are stored (their ids and days are a narrow scan). The latest copy of an event wins, and moves
-    it to another day if its time has changed. Everything the batch changes is written down first (``deltas``) and
-    Silver and whatever ``then`` does are fed from there, so a retried batch does the same again.
+    events are stored, which an ``index`` of event ids tells without a look at Silver. The latest copy of an event wins, and moves
+    it to another day if its time has changed. Everything the batch changes is written down first (``deltas``);
+    the change ``feed``, the index, Silver and whatever ``then`` does are fed from there, so a retried batch does the same again.
+    What is written down carries the checkpoint's id: a new checkpoint never takes an older one's batch for its own, but
+    first finishes what that one had written down.
     """
     layout, day = silver_schema(spark), schemas.EVENT_PARTITIONS
+    feed, index = feed or f"{silver_path.rstrip('/')}_changes", index or f"{silver_path.rstrip('/')}_ids"
+    signed = feed_schema(layout)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        session, at = batch.sparkSession, f"{deltas}/batch={batch_id}"
+    def plan(batch: DataFrame, at: str) -> None:
         new = materialise_once(silver(batch, as_of).select(*layout.names), f"{at}/new")
-        stored = folder_or_empty(session, silver_path, layout)
-        older = stored.select("event_id", *day).join(new.select("event_id"), "event_id", "left_semi").select(*day)
+        stored = folder_or_empty(batch.sparkSession, silver_path, layout)
+        older = idindex.lookup(new.select("event_id"), index, idindex.DAYS).select(*day)
         days = materialise_once(dated(older.unionByName(new.select(*day))).distinct(), f"{at}/days")
         before = within_partitions(stored, days, day).select(*layout.names)
         after = materialise_once(latest_per_key(by_name(before, dated(new)), ["event_id"], EVENT_RECENCY), f"{at}/after")
-        was = before.select("event_id", content_hash(before).alias("_content"))
-        now = after.select("event_id", content_hash(after).alias("_content"))
-        added = materialise_once(_without(after, was), f"{at}/added")
-        bereft = materialise_once(_without(before, now).select("car_chassis").distinct(), f"{at}/bereft")
-        refresh_partitions(after, silver_path, day, days)
-        append_load(undated(new), undated_path, [], batch_id)
+        materialise_once(difference(before, after), f"{at}/changes")
+
+    def apply(session: SparkSession, at: str, name: str, batch_id: int) -> None:
+        tables = {t: session.read.schema(signed if t == "changes" else layout).parquet(f"{at}/{t}") for t in ("new", "after", "changes")}
+        days = session.read.schema(T.StructType([layout[c] for c in day])).parquet(f"{at}/days")
+        changes = tables["changes"]
+        publish(changes, feed, name)
+        idindex.record_load(came(changes).select(*idindex.DAYS.names), index, name)
+        refresh_partitions(tables["after"], silver_path, day, days)
+        append_load(undated(tables["new"]), undated_path, [], name)
         if then is not None:
-            then(Change(added, bereft, days), batch_id)
-        # Batch n only starts once batch n - 1 is committed, so that copy is done with.
-        remove(session, f"{deltas}/batch={batch_id - 1}")
-
-    stream = parquet_stream(spark, bronze, schemas.BRONZE, **source_options)
-    return drain(stream.writeStream.foreachBatch(load), checkpoint)
-
-
-def _without(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    """Rows whose id and content are not listed."""
-    return rows.withColumn("_content", content_hash(rows)).join(listed, ["event_id", "_content"], "left_anti").select(*rows.columns)
-
-
-def log_alerts(spark: SparkSession, silver_path: str, alerts: str, checkpoint: str,
-               rules: Sequence[Rule] = SLIM_RULES, **source_options) -> StreamingQuery:
-    """Silver -> alert log: stateless, written by the exactly-once file sink."""
-    stream = parquet_stream(spark, silver_path, silver_schema(spark), **source_options)
-    writer = (
-        alert_log(stream, rules)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", alerts)
-        .partitionBy(*schemas.ALERT_PARTITIONS)
-    )
-    return drain(writer, checkpoint)
-
-
-def accumulate_fuel(spark: SparkSession, silver_path: str, fuel: str, checkpoint: str,
-                    **source_options) -> StreamingQuery:
-    """Silver -> monthly partials, one idempotent folder per micro-batch.
-
-    No watermark: a late event simply adds to its own, possibly old, month.
-    """
+            then(Change(name, came(changes), went(changes).select("car_chassis").distinct(), days), batch_id)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(monthly.partials(batch), fuel, str(batch_id))
-
-    stream = parquet_stream(spark, silver_path, silver_schema(spark), **source_options)
+        if batch.isEmpty():
+            return
+        session = batch.sparkSession
+        stream = _checkpoint_id(session, checkpoint)
+        at = f"{deltas}/{stream}/batch={batch_id}"
+        plan(batch, at)
+        apply(session, at, f"{stream}-{batch_id}", batch_id)
+        # Batch n only starts once batch n - 1 is committed, so that copy is done with.
+        remove(session, f"{deltas}/{stream}/batch={batch_id - 1}")
+
+    current = _checkpoint_id(spark, checkpoint)
+    for stream in folder_names(spark, deltas):
+        if stream != current:
+            # All but its newest batch are committed; that one may have stopped anywhere, and to repeat it does no harm.
+            numbers = [int(n.removeprefix("batch=")) for n in folder_names(spark, f"{deltas}/{stream}")]
+            for number in (n for n in sorted(numbers)[-1:] if folder_exists(spark, f"{deltas}/{stream}/batch={n}/changes/_SUCCESS")):
+                apply(spark, f"{deltas}/{stream}/batch={number}", f"{stream}-{number}", number)
+            remove(spark, f"{deltas}/{stream}")
+    if folder_exists(spark, silver_path) and not folder_exists(spark, index):
+        # Silver of a time without an index.
+        idindex.record_load(folder_or_empty(spark, silver_path, layout).select(*idindex.DAYS.names), index, "base")
+    stream = parquet_stream(spark, bronze, schemas.BRONZE, **source_options)
     return drain(stream.writeStream.foreachBatch(load), checkpoint)
 
 
