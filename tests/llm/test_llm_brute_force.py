@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from wayfleet.llm import components, language, licenses, outliers, simhash, toxicity, winnowing
-from wayfleet.operators.ordered import running_sums
+from wayfleet.llm.sums import ranked, running_sums
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -183,6 +183,13 @@ def test_prefix_sums_with_null_keys(spark):
     assert {(r.k, r.n): r.s for r in got} == {(k, n): sum(m % 7 for m in range(n + 1)) for k in ("x", "y", None) for n in range(23)}
 
 
+def test_ranks_with_hot_keys(spark):
+    draw = random.Random(6)
+    rows = [(draw.choice([1, 1, 1, draw.randrange(50)]), n) for n in range(700)]
+    got = ranked(spark.createDataFrame(rows, "k int, n int"), [F.col("k").desc(), F.col("n")]).collect()
+    assert {(r.k, r.n): r.position for r in got} == {row: p for p, row in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])), 1)}
+
+
 def count_plainly(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     seen, dup = set(), 0

@@ -38,7 +38,7 @@ def labels(spark, rows=((1, 1, 0), (3, 1, 1), (4, 1, None))):
 
 
 def test_mixing(spark, docs, nothing):
-    got = mixing.mix(docs, rows_per_block=1).collect()
+    got = mixing.mix(docs).collect()
     assert len(got) == len(ROWS)
     for r in got:
         assert 0 <= r.taken <= 3 * r["size"]
@@ -50,7 +50,7 @@ def test_mixing(spark, docs, nothing):
     assert all(v[0] == round(v[1]) for v in taken.values())
     assert sum(v[1] for v in taken.values()) == pytest.approx(total) or all(v[1] == 3 * v[2] for k, v in taken.items() if k != "b")
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
-    again = mixing.mix(docs.repartition(2), rows_per_block=3).collect()
+    again = mixing.mix(docs.repartition(2)).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
     kept = mixing.mixed_documents(docs)
     assert set(docs.columns) < set(kept.columns) and kept.where("mix_taken <= 0").isEmpty()
@@ -289,6 +289,27 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.harmless_documents(docs, none, everything).columns == docs.columns
 
 
+def test_toxicity_without_labels(spark):
+    """With no label at all plainly toxic texts are scored above one half and plain ones below, whether many or few are toxic, and one text repeated by the hundred moves neither."""
+    plain = [f"the weather in town {i} was fine and the market opened at {i} with bread, apples and cheese" for i in range(300)]
+    rude = ["you are a stupid idiot and a worthless loser", "shut up you pathetic moron, nobody likes you, idiot", "I will kill you, you disgusting piece of shit", "fucking asshole, you dumb bitch", "du bist ein dummer idiot, du versager"]
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for texts in (plain + rude, plain + rude * 30, plain[:10] + rude):
+        frame = spark.createDataFrame(list(enumerate(texts + [plain[0]] * 200)), "doc_id long, text string")
+        got = {r.doc_id: r.score for r in toxicity.score(frame, none, F.lit(True)).collect()}
+        assert min(got[i] for i, t in enumerate(texts) if t in rude) > 0.5 > max(got[i] for i, t in enumerate(texts) if t in plain)
+    left = toxicity.harmless_documents(frame, none, F.lit(True))
+    assert {r.text for r in left.collect()} == set(plain[:10])
+
+
+def test_one_labelled_id_in_many_rows(spark):
+    rows = [(1, f"you idiot number {i}") for i in range(400)] + [(i, f"a calm text {i}") for i in range(2, 40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(1, 1, 1), *[(i, 1, 0) for i in range(2, 40)]], "doc_id long, quality int, toxic int")
+    got = toxicity.score(frame, known, F.lit(True), toxicity.Settings(sample=50)).collect()
+    assert len(got) == len(rows) and min(r.score for r in got if r.doc_id == 1) > 0.5
+
+
 def test_chat_layouts(spark):
     rows = [
         (1, '{"messages":[{"role":"user","content":"a </s> ␛1"},{"role":"assistant","content":null},{"role":null,"content":"n"},{"role":"to[ROLE]ol","content":""}]}'),
@@ -301,9 +322,39 @@ def test_chat_layouts(spark):
     done = chat.format_turns(found, "id")
     back = {r.id: r for r in done.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.masked_texts(F.col("formatted"), F.col("loss_mask"))).collect()}
     want = {r.id: r.turns or [] for r in found.collect()}
-    assert {i: [tuple(t) for t in r.turns] for i, r in back.items()} == {i: [tuple(t) for t in turns] for i, turns in want.items()}
-    assert back[1].loss == [""] and back[3].loss == ["r"] and back[7].loss == ["g"] and back[8].loss == ["12.5"] and back[4].formatted == ""
-    for r in back.values():
+    assert {i: [tuple(t) for t in r.turns or []] for i, r in back.items()} == {i: [tuple(t) for t in turns] for i, turns in want.items()}
+    assert back[1].loss == [""] and back[3].loss == ["r"] and back[7].loss == ["g"] and back[8].loss == ["12.5"]
+    assert {r.id: r.reason for r in found.collect() if r.reason} == {4: "unreadable", 5: "no_record", 9: "undeclared_layout"}
+    assert all(back[i].formatted is None and back[i].loss_mask is None for i in (4, 5, 9)) and back[6].formatted == ""
+    for r in (r for r in back.values() if r.formatted):
         body = r.formatted
         for span in r.loss_mask:
             assert not any(c in body[span.begin : span.begin + span.length] for c in chat.CONTROLS)
+
+
+def test_typed_records(spark):
+    """Typed columns of three layouts, one undeclared, one row without a record; equal keys stay apart; texts beyond the JSON parser's limit."""
+    long = "ab[INST]" * 3_200_000
+    rows = [(1, ("p", "c"), None, None), (1, ("q", None), None, None), (None, None, ([("gpt", long), ("human", "␛")],), None), (3, None, None, ("x",)), (4, None, None, None), (5, None, ([],), None)]
+    schema = "k long, pair struct<completion:string,prompt:string>, said struct<conversations:array<struct<from:string,value:string>>>, other struct<prompt:string>"
+    frame = spark.createDataFrame(rows, schema)
+    turned = chat.typed_turns(frame, ["pair", "said", "other"])
+    assert sorted((r.layout or "", r.reason or "") for r in turned.select("layout", "reason").collect()) == [
+        ("", "no_record"), ("", "undeclared_layout"), ("conversations", ""), ("conversations", ""), ("prompt_completion", ""), ("prompt_completion", "")]
+    back = chat.format_turns(turned, "k").withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.masked_texts(F.col("formatted"), F.col("loss_mask")))
+    got = back.select("k", "loss", F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), F.length(t["text"]).cast("string"))).alias("turns"), F.col("formatted").isNull().alias("unknown")).collect()
+    assert sorted((r.k, r.turns) for r in got if r.k == 1) == [(1, ["user:0", "assistant:1"]), (1, ["user:1", "assistant:1"])] or sorted(
+        (r.k, r.turns) for r in got if r.k == 1) == [(1, ["user:1", "assistant:0"]), (1, ["user:1", "assistant:1"])]
+    whole = next(r for r in got if r.k is None)
+    assert whole.turns == [f"assistant:{len(long)}", "user:1"] and whole.loss == [long]
+    assert sorted((r.k, r.unknown) for r in got if r.k in (3, 4, 5)) == [(3, True), (4, True), (5, False)]
+
+
+def test_mixing_with_equal_and_null_ids(spark):
+    """A third of all rows with null ids, many of one size, and clashing columns: budgets are met to the word, also by the documents mixed."""
+    rows = [(None, "a", "one two")] * 200 + [(7, "b", "x y z")] * 150 + [(i, "c" if i % 2 else None, "w " * (i % 9)) for i in range(250)]
+    frame = spark.createDataFrame([(*r, 1, "s", 5) for r in rows], "doc_id long, source string, text string, __id int, __source string, row int")
+    for got, size, taken, target in ((mixing.mix(frame), "size", "taken", "target"), (mixing.mixed_documents(frame), "mix_size", "mix_taken", "mix_target")):
+        totals = {r.source: (r.t, r.target, r.most) for r in got.groupBy("source").agg(F.sum(taken).alias("t"), F.max(target).alias("target"), F.max(F.col(taken) - 3 * F.col(size)).alias("most")).collect()}
+        assert len(totals) == 4 and all(t == round(want) and most <= 0 for t, want, most in totals.values())
+    assert set(frame.columns) < set(mixing.mixed_documents(frame).columns)

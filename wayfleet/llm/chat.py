@@ -1,8 +1,8 @@
 """Chat formatting: records of many layouts become canonical turns, then one escaped text with a loss mask.
 
-A record is JSON.  The paths of its nested fields, without values and value types, are hashed to a
-fingerprint; a table of declared mappings says, for each fingerprint, which path holds what.  So a layout
-costs one line in ``LAYOUTS`` and no code.  Everything is DataFrame code.
+A record is a JSON text or a typed column.  The paths of its nested fields, without values and value types, are hashed to a
+fingerprint, read from the text or from the column's type; a table of declared mappings says, for each fingerprint, which path
+holds what.  So a layout costs one line in ``LAYOUTS`` and no code.  Everything is DataFrame code.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wayfleet.llm.common import free_name, settle
 
 TURNS = "array<struct<role:string,text:string>>"
 
@@ -80,6 +83,16 @@ def _shape_of(paths: tuple[str, ...]) -> str:
     return spell(tree)
 
 
+def shape_of_type(kind: T.DataType) -> str:
+    """``shape`` of any record that a column of this type holds."""
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name.encode())
+        return f"OBJECT<{', '.join(f'{f.name}: {shape_of_type(f.dataType)}' for f in fields)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{shape_of_type(kind.elementType)}>"
+    return "_"
+
+
 def _role(name: Column) -> Column:
     known = name
     for other, role in ROLE_NAMES.items():
@@ -97,20 +110,55 @@ def _turns_of(layout: Layout, record: Column) -> Column:
     return F.array(*single)
 
 
+def _typed_turns_of(layout: Layout, record: Column) -> Column:
+    def at(path: str) -> Column:
+        out = record
+        for part in path.split("."):
+            out = out[part]
+        return out
+
+    if layout.listed:
+        path, role, text = layout.listed
+        return F.transform(at(path), lambda t: F.struct(_role(t[role]).alias("role"), F.coalesce(t[text].cast("string"), F.lit("")).alias("text")))
+    return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(at(path).cast("string"), F.lit("")).alias("text")) for role, path in layout.turns])
+
+
+def typed_turns(df: DataFrame, records: list[str], layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """Add ``layout``, ``turns`` (role, text) and ``reason`` from typed record columns, one for each layout a row may have.
+
+    A column's type gives its fingerprint, and that its mapping; a row's record is the first of the columns that is not null.  No text is
+    parsed, so texts may have any length that a value can have.  A record in a column whose fingerprint is not declared
+    has null turns and the reason ``undeclared_layout``, a row without a record ``no_record``.
+    """
+    declared = {_shape_of(known.paths): known for known in layouts}
+    layout, turns, reason = F.lit(None).cast("string"), F.lit(None).cast(TURNS), F.lit("no_record")
+    for name in reversed(records):
+        known, here = declared.get(shape_of_type(df.schema[name].dataType)), F.col(name).isNotNull()
+        layout = F.when(here, F.lit(known.name if known else None).cast("string")).otherwise(layout)
+        turns = F.when(here, _typed_turns_of(known, F.col(name)) if known else F.lit(None).cast(TURNS)).otherwise(turns)
+        reason = F.when(here, F.lit(None if known else "undeclared_layout").cast("string")).otherwise(reason)
+    return df.withColumns({"layout": layout, "turns": turns, "reason": reason})
+
+
 def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Add ``layout`` and ``turns`` (role, text); a record whose fingerprint is not declared gets null for both.
+    """Add ``layout``, ``turns`` (role, text) and ``reason`` from JSON texts.
 
+    A record whose fingerprint is not declared has null for the first two and the reason ``undeclared_layout``; one that is null
+    ``no_record``; one that cannot be read as JSON ``unreadable``: malformed, or with a text beyond the JSON parser's limit of 20 million
+    characters or Spark's size limit of a variant.  Typed columns (``typed_turns``) have no such limit.
     An empty list of turns has no member to show its fields; it is read as no turns of any list layout.
     """
-    named = records.withColumn("__print", fingerprint(F.col(record)))
+    name = free_name(records, "print")
+    named = records.withColumn(name, fingerprint(F.col(record)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for known in reversed(layouts):
-        hit = F.col("__print") == F.xxhash64(F.lit(_shape_of(known.paths)))
+        hit = F.col(name) == F.xxhash64(F.lit(_shape_of(known.paths)))
         if known.listed:
-            hit = hit | (F.col("__print") == F.xxhash64(F.lit(f"OBJECT<{known.listed[0]}: ARRAY<_>>")))
+            hit = hit | (F.col(name) == F.xxhash64(F.lit(f"OBJECT<{known.listed[0]}: ARRAY<_>>")))
         layout = F.when(hit, known.name).otherwise(layout)
         turns = F.when(hit, _turns_of(known, F.col(record))).otherwise(turns)
-    return named.withColumn("layout", layout).withColumn("turns", turns).drop("__print")
+    reason = F.when(F.col(record).isNull(), "no_record").when(shape(F.col(record)).isNull(), "unreadable").when(layout.isNull(), "undeclared_layout")
+    return named.withColumns({"reason": reason, "layout": layout, "turns": turns}).drop(name)
 
 
 # The control strings of the template.  "␛" begins an escape; it is rare in text.
@@ -152,23 +200,27 @@ def _closing(role: Column) -> Column:
 
 
 def format_turns(df: DataFrame, key: str) -> DataFrame:
-    """(key, formatted, loss_mask) of ``df`` (key, turns): the marked text, and the spans to learn from.
+    """(key, formatted, loss_mask) of every row of ``df`` (key, turns): the marked text, and the spans to learn from.
 
     A span is (begin, length) in code points of the formatted text and covers one assistant text
-    without its marks.  Where spans begin is a running sum over the turns as rows.  A record without turns gives an empty text.
+    without its marks.  Where spans begin is a running sum over the turns as rows.  A record without turns gives an empty text, one
+    whose turns are null (its layout is not known) null for both.  Rows of equal keys, null ones too, are records of their own.
+    Null texts are empty; texts of any length are kept whole.  No rows give no rows.
     """
-    rows = df.select(key, F.posexplode_outer("turns").alias("turn_no", "turn"))
-    rows = rows.select(key, "turn_no", F.col("turn.role").alias("role"), escaped(F.coalesce("turn.text", F.lit(""))).alias("body"))
+    numbered = settle(df.select(F.col(key).alias("key"), "turns").withColumn("row", F.monotonically_increasing_id()), "turns")
+    rows = numbered.select("row", "key", F.col("turns").isNotNull().alias("known"), F.posexplode_outer("turns").alias("turn_no", "turn"))
+    rows = rows.select("row", "key", "known", "turn_no", F.col("turn.role").alias("role"), escaped(F.coalesce("turn.text", F.lit(""))).alias("body"))
     rows = rows.withColumn("opening", _opening(F.col("role"))).withColumn("closing", _closing(F.col("role")))
     rows = rows.withColumn("piece", F.when(F.col("turn_no").isNull(), "").otherwise(F.concat("opening", "body", "closing")))
-    upto = Window.partitionBy(key).orderBy("turn_no").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("row").orderBy("turn_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("begin", F.sum(F.length("piece")).over(upto) - F.length("piece") + F.length("opening"))
     span = F.when(F.col("role") == "assistant", F.struct(F.col("turn_no"), F.col("begin").cast("long").alias("begin"), F.length("body").cast("long").alias("length")))
-    done = rows.groupBy(key).agg(
+    done = rows.groupBy("row").agg(
+        F.first("key").alias("key"), F.first("known").alias("known"),
         F.array_sort(F.collect_list(F.struct("turn_no", "piece"))).alias("pieces"), F.array_sort(F.collect_list(span)).alias("spans"))
     return done.select(
-        key, F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("formatted"),
-        F.transform("spans", lambda s: F.struct(s["begin"].alias("begin"), s["length"].alias("length"))).alias("loss_mask"),
+        F.col("key").alias(key), F.when(F.col("known"), F.array_join(F.transform("pieces", lambda p: p["piece"]), "")).alias("formatted"),
+        F.when(F.col("known"), F.transform("spans", lambda s: F.struct(s["begin"].alias("begin"), s["length"].alias("length")))).alias("loss_mask"),
     )
 
 

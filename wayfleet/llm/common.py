@@ -41,6 +41,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of the frame has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def hash_share(value: Column) -> Column:
     """A number from 0 up to 1 that a hash of the value fixes: keeping rows below a share draws the same sample on every run."""
     return F.conv(F.substring(F.md5(value.cast("string")), 1, 8), 16, 10).cast("double") / float(1 << 32)

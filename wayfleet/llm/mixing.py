@@ -1,8 +1,8 @@
 """Mixing sources to target weights: hash-random order, prefix sums, and a cut at each source's budget.
 
-Documents of a source are put in an order that a hash of their id fixes.  Sizes are summed
-along that order in two levels (blocks of the order, then inside a block), so a source that
-holds a third of the corpus is spread over many tasks.  A source's budget is cut where the
+Documents of a source are put in an order that a hash of their id fixes, by a range sort that also splits rows
+of equal ids.  Sizes are summed along that order in three levels (groups of ranges, ranges, and inside a range), so a source or
+an id that holds a third of the corpus is spread over many tasks.  A source's budget is cut where the
 running sum reaches it; a budget above the source's size takes whole epochs first and cuts
 the last one.  Everything is DataFrame code.
 """
@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfleet.llm.common import WHITE_WORD, settle
-from wayfleet.operators.ordered import running_sums
+from wayfleet.llm.common import WHITE_WORD, free_name, settle
+from wayfleet.llm.sums import running_sums
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-ROWS_PER_BLOCK = 2_000
 
 
 def size_in_words(text: Column) -> Column:
@@ -61,46 +60,54 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs:
     )
 
 
-def mix(
-    documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MOST_EPOCHS, salt: str = "mix",
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> DataFrame:
+def _taken(numbered: DataFrame, weights: tuple[int, ...], epochs: int, salt: str) -> DataFrame:
+    """(row, doc_id, source, size, source_size, target, taken) of rows (row, doc_id, source, size) whose ``row`` is unique."""
+    key = F.md5(F.concat(F.lit(f"{salt}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    order = [F.col("key"), F.col("doc_id"), F.col("size"), F.col("row")]
+    # The row's number is part of the order, so ranges stay even however many rows share an id.
+    dealt = numbered.withColumn("key", key).repartitionByRange(F.col("source"), *order).withColumn("block", F.spark_partition_id().cast("long"))
+    dealt = settle(dealt, "mix-ranges")
+    targets = source_targets(dealt, weights, epochs).select(F.col("source").alias("of"), "source_size", "target", "budget")
+    summed = running_sums(dealt, ["source"], "block", order, {"upto": F.col("size")})
+    summed = summed.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
+    rest = F.col("budget") - F.col("whole") * F.col("source_size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("upto") - F.col("size"))))
+    return summed.withColumn("whole", whole.cast("long")).select(
+        "row", "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken")
+    )
+
+
+def _numbered(documents: DataFrame) -> DataFrame:
+    # Words are counted once: the narrow table is what ranges, targets and sums are taken from.
+    sized = documents.select("doc_id", "source", size_in_words(F.col("text")).alias("size"))
+    return settle(sized.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MOST_EPOCHS, salt: str = "mix") -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every document.
 
     ``taken`` counts the words that the mix takes of a document, repeats included: one size per
     whole epoch, plus the part of the last epoch before the cut; only the document at the
     cut is taken in part, so a source's taken words equal its budget exactly.
 
-    Null or blank text has size 0 and takes 0.  Null sources form a source of their own.  Documents
-    with equal ids, or null ids, are told apart by size, and rows equal in both are
-    interchangeable.  An empty table gives an empty result.  Other columns are ignored.
+    Null or blank text has size 0 and takes 0; texts of any length count whole.  Null sources form a source of their own.  Rows
+    with equal ids, or null ids, are rows of their own, in order of size; which of two equal rows is cut is the only thing
+    left open.  An empty table gives an empty result.  Other columns are ignored.
     """
-    # Words are counted once: the narrow table is what targets, blocks and sums are taken from.
-    sized = settle(documents.select("doc_id", "source", size_in_words(F.col("text")).alias("size")), "mix-sizes")
-    targets = source_targets(sized, weights, epochs)
-    mine = targets.select(F.col("source").alias("__source"), "n_rows", "source_size", "target", "budget")
-    keyed = sized.join(mine, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    keyed = keyed.withColumn("key", F.md5(F.concat(F.lit(f"{salt}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    # The first 32 bits of the key, as a share of their range, deal the source's rows into even, ordered blocks.
-    share = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    keyed = keyed.withColumn("block", F.floor(share * F.ceil(F.col("n_rows") / rows_per_block)).cast("long"))
-    summed = running_sums(keyed, ["source"], "block", [F.col("key"), F.col("doc_id"), F.col("size")], {"upto": F.col("size")})
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
-    rest = F.col("budget") - F.col("whole") * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("upto") - F.col("size"))))
-    return summed.withColumn("whole", whole.cast("long")).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken")
-    )
+    return _taken(_numbered(documents), weights, epochs, salt).drop("row")
 
 
-def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The documents with words taken, as they were, with ``mix_size``, ``mix_taken`` and ``mix_target`` added.
+def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MOST_EPOCHS, salt: str = "mix") -> DataFrame:
+    """The documents with words taken, as they were, with ``mix_size``, ``mix_taken`` and ``mix_target`` added (input columns of these names go).
 
-    A loader repeats a document ``mix_taken / mix_size`` times; the text is stored once.
+    A loader repeats a document ``mix_taken / mix_size`` times; the text is stored once.  The documents are written down with a number
+    for each row, so equal rows keep what each of them takes, and no source exceeds its budget.
     """
-    plan = mix(documents, **options).where("taken > 0").groupBy("doc_id", "source", "size").agg(
-        F.max("taken").alias("mix_taken"), F.first("target").alias("mix_target"))
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("mix_size"), "mix_taken", "mix_target")
-    same = (F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
-            & (size_in_words(F.col("text")) == F.col("mix_size")))
-    return documents.drop("mix_size", "mix_taken", "mix_target").join(plan, same).drop("__id", "__source")
+    kept = documents.drop("mix_size", "mix_taken", "mix_target")
+    name = free_name(kept, "row")
+    held = settle(kept.withColumn(name, F.monotonically_increasing_id()), "mix-documents")
+    sized = settle(held.select("doc_id", "source", size_in_words(F.col("text")).alias("size"), F.col(name).alias("row")), "mix-sizes")
+    plan = _taken(sized, weights, epochs, salt).where("taken > 0")
+    plan = plan.select(F.col("row").alias(name), F.col("size").alias("mix_size"), F.col("taken").alias("mix_taken"), F.col("target").alias("mix_target"))
+    return held.join(plan, name).drop(name)

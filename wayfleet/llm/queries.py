@@ -87,19 +87,17 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(rows: DataFrame) -> DataFrame:
-    """Conversations as JSON records, in the layout that fits their turns: a single exchange, one with a system text, or a list."""
+    """Conversations as typed records, in the layout that fits their turns: a single exchange, one with a system text, or a list."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text"))))
     listed = rows.groupBy("conv_id").agg(turns.alias("rows"))
-    roles, text = F.col("rows.role"), lambda i: F.col("rows")[i]["text"]
-    options = {"ignoreNullFields": "false"}
+    roles, text = F.col("rows.role"), lambda i: F.get(F.col("rows"), F.lit(i))["text"]
+    single = roles == F.array(F.lit("user"), F.lit("assistant"))
+    instructed = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
     messages = F.transform("rows", lambda t: F.struct(t["text"].alias("content"), t["role"].alias("role")))
-    record = F.when(
-        roles == F.array(F.lit("user"), F.lit("assistant")), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion")), options)
-    ).when(
-        roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")),
-        F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response")), options),
-    ).otherwise(F.to_json(F.struct(messages.alias("messages")), options))
-    return listed.select("conv_id", record.alias("record"))
+    return listed.select(
+        "conv_id", F.when(single, F.struct(text(0).alias("prompt"), text(1).alias("completion"))).alias("exchange"),
+        F.when(instructed, F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))).alias("instructed"),
+        F.when(~F.coalesce(single | instructed, F.lit(False)), F.struct(messages.alias("messages"))).alias("listed"))
 
 
 _ESCAPED = "replace(t, '␛', '␛0')"
@@ -126,7 +124,8 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(hostile).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
-    out = settle(chat.format_turns(chat.canonical_turns(_records(rows)), "conv_id"), "chat")
+    turned = chat.typed_turns(_records(rows), ["exchange", "instructed", "listed"])
+    out = settle(chat.format_turns(turned, "conv_id"), "chat")
     back = out.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn(
         "loss", F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_mask")), ""))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -4,8 +4,9 @@ Voters are hand-written lexicons and patterns, and lexicons of words and word be
 sample of labelled documents ties to toxic text.  The label model is a tree-augmented mixture: given the
 hidden label, each voter depends on one other voter, its most correlated one, so agreement between voters that copy each
 other is not counted twice.  Its accuracies and correlations are fitted by expectation-maximisation to the vote
-patterns of all documents; labels that are known anchor it.  A logistic classifier over the mined words and
-the votes is then trained on the posterior labels, and scores every document.
+patterns of all documents; labels that are known anchor it, and a few made-up documents in which hand-written voters
+mostly vote where text is toxic, so that its two classes mean the same without any label.  A logistic classifier over the mined
+words and the votes is then trained on the posterior labels of a bounded sample of all documents, labelled or not, and scores every document.
 """
 
 from __future__ import annotations
@@ -65,6 +66,10 @@ class Settings:
     rounds: int = 8
     trust: float = 0.97
     penalty: float = 1e-3
+    # Weight in training of all documents without a label, as a share of that of the labelled ones.
+    unlabelled: float = 0.25
+    # Without any label, posteriors of toxic text weigh this share of the sample at least, so that the penalty does not outweigh a few.
+    least_toxic: float = 0.1
 
 
 def _training_ids(labels: DataFrame, learn: Column, settings: Settings) -> DataFrame:
@@ -94,6 +99,9 @@ def _mine(sample: DataFrame, settings: Settings) -> list[tuple[str, float]]:
     return [(r["feature"], float(r["odds"])) for r in best.collect()]
 
 
+HAND_WRITTEN = len(LEXICONS) + len(PATTERNS)
+
+
 @dataclass(frozen=True)
 class Features:
     """What a task needs to read a text: mined words by place, and the voters."""
@@ -106,7 +114,7 @@ class Features:
 
     @property
     def n_voters(self) -> int:
-        return len(LEXICONS) + len(PATTERNS) + self.n_mined_voters + 2
+        return HAND_WRITTEN + self.n_mined_voters + 2
 
 
 def _features(mined: list[tuple[str, float]], settings: Settings) -> Features:
@@ -195,8 +203,8 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], voters: int, shared, trust:
         known = known.astype(float)
         model: LabelModel | None = shared.value
         if model is None:
-            # To begin with, the share of voters that vote stands for the probability.
-            p = np.clip(votes.mean(axis=1) * 4, 0.02, 0.98)
+            # To begin with, the number of hand-written voters that vote stands for the probability.
+            p = np.array([0.02, 0.6, 0.95])[np.minimum(votes[:, :HAND_WRITTEN].sum(axis=1), 2)]
         else:
             p = 1 / (1 + np.exp(-np.clip(model.log_odds(votes), -30, 30)))
         p = np.where(np.isnan(known), p, np.where(known > 0, trust, 1 - trust))
@@ -243,6 +251,17 @@ def _fit_tree(total: np.ndarray) -> LabelModel:
     return LabelModel(prior, parent, np.clip(fires, 1e-4, 1 - 1e-4))
 
 
+def _made_up(voters: int) -> np.ndarray:
+    """Counts of a hundred made-up documents, ten of them toxic: voters are independent, and hand-written ones vote on toxic text."""
+    total = np.zeros((2, voters + 1, voters + 1))
+    for y, (n, rate) in enumerate(((90.0, 0.005), (10.0, 0.25))):
+        fires = np.full(voters + 1, 0.005)
+        fires[1 : HAND_WRITTEN + 1], fires[0] = rate, 1.0
+        total[y] = n * np.outer(fires, fires)
+        np.fill_diagonal(total[y], n * fires)
+    return total
+
+
 def fit_label_model(patterns: DataFrame, voters: int, settings: Settings) -> LabelModel:
     """From ``patterns`` (votes, known, n): vote patterns of all documents with their numbers.  A step sends one table of numbers per task."""
     spark = patterns.sparkSession
@@ -252,7 +271,7 @@ def fit_label_model(patterns: DataFrame, voters: int, settings: Settings) -> Lab
         cells = patterns.mapInArrow(lambda it, s=shared: _pair_counts(it, voters, s, settings.trust), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
         total = np.zeros(2 * (voters + 1) ** 2)
         total[cells["cell"].to_numpy()] = cells["value"].to_numpy()
-        model = _fit_tree(total.reshape(2, voters + 1, voters + 1))
+        model = _fit_tree(total.reshape(2, voters + 1, voters + 1) + _made_up(voters))
     return model
 
 
@@ -275,20 +294,27 @@ def _dense(places: list, counts: list, votes: np.ndarray, features: Features) ->
 
 
 def _fit_linear(rows: DataFrame, features: Features, settings: Settings) -> tuple[np.ndarray, float]:
-    """Logistic regression on posterior labels.  ``rows`` is the bounded sample, so its sparse rows fit a Newton-like solver on the driver in a few megabytes."""
-    frame = rows.select("places", "counts", "votes", "posterior").toPandas()
+    """Logistic regression on posterior labels.  ``rows`` is the bounded sample, equal rows as one with a weight, so its sparse rows fit a Newton-like solver on the driver in a few megabytes."""
+    frame = rows.toPandas()
     r, c, v = _dense(list(frame["places"]), list(frame["counts"]), frame["votes"].to_numpy(np.int64), features)
     q, width = frame["posterior"].to_numpy(float), len(features.voter_of) + features.n_voters
-    n = max(1, len(q))
-    w, b = np.zeros(width), float(np.log((q.mean() + 1e-3) / (1 - q.mean() + 1e-3))) if len(q) else -2.0
+    if not len(q):
+        return np.zeros(width), -2.0
+    share = frame["weight"].to_numpy(float)
+    share /= share.sum()
+    if not frame["known"].any() and 0 < share @ q < settings.least_toxic:
+        share = share * (1 - q + q * settings.least_toxic / (share @ q))
+        share /= share.sum()
+    n, mean = len(q), float(share @ q)
+    w, b = np.zeros(width), float(np.log((mean + 1e-3) / (1 - mean + 1e-3)))
     # Accelerated proximal steps per coordinate: step sizes from the diagonal bound of the curvature.
-    bound = 0.25 * np.bincount(c, weights=v * np.bincount(r, weights=v, minlength=n)[r], minlength=width) / n + settings.penalty
+    bound = 0.25 * np.bincount(c, weights=v * share[r] * np.bincount(r, weights=v, minlength=n)[r], minlength=width) + settings.penalty
     look_w, look_b, t = w.copy(), b, 1.0
     for _ in range(400):
-        z = np.bincount(r, weights=look_w[c] * v, minlength=n)[: len(q)] + look_b
-        error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - q
-        g = np.bincount(c, weights=error[r] * v, minlength=width) / n + settings.penalty * look_w
-        new_w, new_b = look_w - 0.5 * g / bound, look_b - 0.5 * (error.sum() / n) / 0.25
+        z = np.bincount(r, weights=look_w[c] * v, minlength=n) + look_b
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - q) * share
+        g = np.bincount(c, weights=error[r] * v, minlength=width) + settings.penalty * look_w
+        new_w, new_b = look_w - 0.5 * g / bound, look_b - 0.5 * error.sum() / 0.25
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         look_w, look_b = new_w + (t - 1) / t_next * (new_w - w), new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new_w, new_b, t_next
@@ -309,8 +335,9 @@ def score(documents: DataFrame, labels: DataFrame, learn: Column, settings: Sett
     """(doc_id, row_key, score, posterior) for every whole text; labels are read where ``learn`` holds only.
 
     Null and empty texts have no votes and get the score of a text without any sign of toxicity.  Without a label to learn from
-    the hand-written voters alone make the label model.  Repeated rows repeat their score; an empty table gives an
-    empty result; other columns, and language and source, are never read.
+    the hand-written voters alone make the label model, and its posteriors train the classifier.  Repeated rows repeat their score;
+    an id that very many rows share, or equal texts, weigh on the sample by their number but do not enlarge it; texts of any length are read
+    whole; an empty table gives an empty result; other columns, and language and source, are never read.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
@@ -328,21 +355,37 @@ def score(documents: DataFrame, labels: DataFrame, learn: Column, settings: Sett
     patterns = settle(known.groupBy("votes", F.col("toxic").cast("double").alias("known")).agg(F.count(F.lit(1)).cast("double").alias("n")), "patterns")
     model = fit_label_model(patterns, features.n_voters, settings)
 
-    labelled = known.where("toxic is not null").toDF("doc_id", "row_key", "votes", "places", "counts", "toxic")
-    posterior = labelled.mapInArrow(lambda it: _posteriors(it, model, features.n_voters, settings.trust), "places array<int>, counts array<int>, votes long, posterior double")
-    weights, bias = _fit_linear(posterior, features, settings)
+    weights, bias = _fit_linear(_training_rows(known, model, features, settings), features, settings)
     shared = spark.sparkContext.broadcast(Classifier(features, model, weights, bias))
     return read.mapInArrow(lambda it: _scored(it, shared), f"doc_id {id_type}, row_key string, score double, posterior double")
 
 
+def _training_rows(known: DataFrame, model: LabelModel, features: Features, settings: Settings) -> DataFrame:
+    """(places, counts, votes, posterior, weight) of the sample: about ``sample`` different texts with a label and as many without one.
+
+    A hash of the row draws them.  Equal rows are one, with their number as weight; all rows without a label together weigh
+    ``unlabelled`` times those with one, or all if none has one.
+    """
+    seen = known.agg(F.count_if(F.col("toxic").isNotNull()).alias("labelled"), F.count_if(F.col("toxic").isNull()).alias("others")).first()
+    shares = {kind: min(1.0, settings.sample / max(1, seen[kind])) for kind in ("labelled", "others")}
+    drawn = known.where(hash_share(F.col("row_key")) < F.when(F.col("toxic").isNotNull(), shares["labelled"]).otherwise(shares["others"]))
+    rows = drawn.groupBy("places", "counts", "votes", "toxic").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    each = {"labelled": 1.0, "others": settings.unlabelled * (seen["labelled"] * shares["labelled"]) / max(1.0, seen["others"] * shares["others"]) if seen["labelled"] else 1.0}
+    weight = F.col("n") * F.when(F.col("toxic").isNotNull(), each["labelled"]).otherwise(each["others"])
+    rows = rows.select("places", "counts", "votes", F.col("toxic").cast("double").alias("toxic"), weight.alias("weight"))
+    voters, trust = features.n_voters, settings.trust
+    return rows.mapInArrow(lambda it: _posteriors(it, model, voters, trust), "places array<int>, counts array<int>, votes long, posterior double, weight double, known boolean")
+
+
 def _posteriors(batches: Iterator[pa.RecordBatch], model: LabelModel, voters: int, trust: float) -> Iterator[pa.RecordBatch]:
-    """Posterior label of labelled rows: the label model's odds times those of the label they carry."""
+    """Posterior labels: the label model's odds, times those of the label that a row carries, if any."""
     for batch in batches:
-        votes = batch.column("votes").to_numpy()
-        toxic = batch.column("toxic").to_numpy()
-        odds = model.log_odds(_bits(votes, voters)) + np.where(toxic > 0, 1, -1) * np.log(trust / (1 - trust))
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(float)
+        given = np.where(np.isnan(toxic), 0.0, np.where(toxic > 0, 1.0, -1.0)) * np.log(trust / (1 - trust))
+        odds = model.log_odds(_bits(batch.column("votes").to_numpy(), voters)) + given
         yield pa.record_batch(
-            [batch.column("places"), batch.column("counts"), batch.column("votes"), pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30))))], ["places", "counts", "votes", "posterior"])
+            [batch.column("places"), batch.column("counts"), batch.column("votes"), pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30)))), batch.column("weight"), pa.array(~np.isnan(toxic))],
+            ["places", "counts", "votes", "posterior", "weight", "known"])
 
 
 def harmless_documents(documents: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> DataFrame:
