@@ -110,6 +110,7 @@ def landing_text(spark: SparkSession, path: str, glob: str = "*.json", streaming
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_block_start").alias("file_begin"),
     )
 
 
@@ -123,6 +124,26 @@ def is_one_value(raw: Column) -> Column:
     return F.coalesce((F.size(in_array) == 1) & in_object.isNotNull(), F.lit(False))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _closer_look(text: Column, whole: Column, schema: T.StructType, piece) -> Column:
+    """The pieces of a text that is not plainly one record: elements of an array, lines, or the text as it is."""
+    def parsed(t: Column, one: Column) -> Column:
+        return piece(t, one, F.from_json(F.when(one, t), schema))
+
+    lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
+    some_record = F.exists(lines, lambda line: F.ltrim(line).startswith("{") & is_one_value(line))
+    elements = F.from_json(text, T.ArrayType(T.StringType()))
+    return (
+        F.when(whole & F.ltrim(text).startswith("["), F.transform(elements, lambda t: parsed(t, F.lit(True))))
+        .when(~whole & some_record, F.transform(lines, lambda t: _let(is_one_value(t), lambda one: parsed(t, one))))
+        .otherwise(F.array(parsed(text, whole)))
+    )
+
+
 def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str] = ("event_id", "carChassis")) -> DataFrame:
     """Raw texts -> records, with ``reject_reason`` set on what cannot be used.
 
@@ -131,23 +152,19 @@ def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str]
     stands for itself; else it is kept whole. Text that is no JSON, JSON with more text after it, and records that
     lack a required key (a foreign layout, say) are marked; none disturbs the other records or files of the
     batch, and every piece of text ends up on one side.
+
+    A text that is plainly one record is parsed once: as the only element of an array put around it. Only what is not is looked at more closely.
     """
     text = F.col("raw")
-    lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
-    piece = lambda t, whole: F.struct(t.alias("raw"), whole.alias("whole"))
-    some_record = F.exists(lines, lambda line: F.ltrim(line).startswith("{") & is_one_value(line))
-    elements = F.from_json(text, T.ArrayType(T.StringType()))
-    pieces = (
-        F.when(F.col("_whole") & F.ltrim(text).startswith("["), F.transform(elements, lambda t: piece(t, F.lit(True))))
-        .when(~F.col("_whole") & some_record, F.transform(lines, lambda t: piece(t, is_one_value(t))))
-        .otherwise(F.array(piece(text, F.col("_whole"))))
-    )
-    known = raw.withColumn("_whole", is_one_value(text)).withColumn("_pieces", pieces)
+    piece = lambda t, whole, record: F.struct(t.alias("raw"), whole.alias("_one"), record.alias("_record"))
+    # Without a closing bracket of its own a text cannot end the array early, so one element means one value.
+    around = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema))
+    closer = _let(is_one_value(text), lambda whole: _closer_look(text, whole, schema, piece))
+    records = _let(around, lambda found: F.when(
+        (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull() & ~F.contains(text, F.lit("]")), F.array(piece(text, F.lit(True), F.get(found, F.lit(0))))).otherwise(closer))
     # Parsed before the explode: a filter on the result then stays above it, instead of
     # being pushed down with a copy of the parser for every column it mentions.
-    records = F.transform("_pieces", lambda p: F.struct(
-        p["raw"].alias("raw"), p["whole"].alias("_one"), F.from_json(F.when(p["whole"], p["raw"]), schema).alias("_record")))
-    parsed = known.select(F.inline_outer(records), "file_path", "file_size", "file_time")
+    parsed = raw.select(F.inline_outer(records), "file_path", "file_size", "file_time")
 
     names = [f.name for f in schema.fields]
     by_lower = {n.lower(): n for n in names}
@@ -167,6 +184,55 @@ def parse_landing(raw: DataFrame, schema: T.StructType, required: Sequence[str]
         "_record.*", "raw", "file_path", "file_size", "file_time", "reject_reason")
 
 
+# A cell of a CSV line with its quotes, after a comma; one is put before the line.
+_CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+
+
+def _cells(line: Column) -> Column:
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), 1)
+
+
+def _unquoted(cell: Column) -> Column:
+    """The value of a cell: nothing at all is NULL, quotes around nothing an empty text."""
+    inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    return F.when(cell == "", None).when(cell.startswith('"'), inner).otherwise(cell)
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
+    """Lines of CSV files -> typed columns, ``raw`` and ``reject_reason``, in the shape of ``parse_landing``.
+
+    ``lines`` is a batch of ``landing_text`` in the shape LINES with ``file_begin``. Each file has its own header, its first line,
+    and columns are found by their names in it, in whatever order and case; one that is absent is NULL. A line of
+    another width, with a stray quote, or with a value of another type is marked and keeps its text. A file whose header lacks a required
+    column is of a foreign layout, line by line. A value cannot contain a line end.
+    """
+    numbered = lines.withColumn("_line", F.monotonically_increasing_id())
+    # Lines of a file's first split come in order, so the least number there is the header's.
+    first = numbered.filter("file_begin = 0").groupBy("file_path").agg(F.min(F.struct("_line", "raw")).alias("_first"))
+    names = F.transform(_cells(F.ltrim(F.translate("_first.raw", "\ufeff\r", ""))), lambda c: F.lower(F.trim(_unquoted(c))))
+    headers = first.select(F.col("file_path").alias("_file"), F.col("_first._line").alias("_header"), names.alias("_names"))
+    rows = numbered.join(headers, F.col("file_path") == F.col("_file"), "left").filter("_line <> _header OR _header IS NULL")
+    line = F.rtrim(F.col("raw"), F.lit("\r"))
+    rows = rows.withColumn("_cells", _cells(line))
+    at = {f.name: F.array_position("_names", f.name.lower()).cast("int") for f in schema.fields}
+    text = {n: F.when(at[n] > 0, _unquoted(F.get("_cells", at[n] - 1))) for n in at}
+    columns = {f.name: text[f.name].try_cast(f.dataType) for f in schema.fields}
+    stray = F.exists("_cells", lambda c: c.startswith('"') & ~((F.length(c) > 1) & c.endswith('"')))
+    whole = F.aggregate("_cells", F.size("_cells") - 1, lambda n, c: n + F.length(c)) == F.length(line)
+    bad, foreign = F.lit(False), F.col("_names").isNull()
+    for name, value in columns.items():
+        bad = bad | (text[name].isNotNull() & value.isNull())
+    for name in required:
+        foreign = foreign | ~F.array_contains("_names", name.lower())
+    reason = (
+        F.when(F.coalesce(foreign, F.lit(True)), "foreign_layout").when(stray | ~whole, "malformed_row")
+        .when(F.size("_cells") != F.size("_names"), "wrong_width").when(bad, "bad_value")
+    )
+    for name in required:
+        reason = reason.when(columns[name].isNull(), f"missing_{name}")
+    return rows.select(*[c.alias(n) for n, c in columns.items()], "raw", "file_path", "file_size", "file_time", reason.alias("reject_reason"))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter("reject_reason IS NULL").drop("reject_reason", "raw")
 
