@@ -152,6 +152,25 @@ def written(spark: SparkSession, path: str, schema=None) -> dict[str, int]:
     return {"files": result["files"], "rows": result["rows"]}
 
 
+def footer_counts(spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = ()) -> DataFrame:
+    """Rows in a folder of Parquet files, per value of its partition columns, from the files' footers alone.
+
+    The count is pushed into the reader, which only the newer Parquet source does; it is chosen for this frame and
+    the session's choice put back, so the frame is planned here.
+    """
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counts = spark.read.schema(schema).parquet(path).groupBy(*partitions).agg(F.count("*").alias("n_rows"))
+        counts._jdf.queryExecution().executedPlan()
+        return counts
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def append_load(df: DataFrame, path: str, partitions: Sequence[str], load_id: int | str) -> None:
     """Append to a log so that repeating the same load replaces it.
 

@@ -52,6 +52,35 @@ def discover_partitions(spark: SparkSession, database: str, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
 
 
+def evolve(spark: SparkSession, database: str, name: str, schema: T.StructType, partitions: Sequence[str] = ()) -> list[str]:
+    """Bring a table's columns up to a layout: columns it lacks are added, and read as NULL from older files. Gives their names.
+
+    A column whose type differs is refused before anything is changed; one the layout no longer has stays.
+    """
+    known = {f.name.lower(): f for f in table(spark, database, name).schema.fields}
+    wanted = [f for f in schema.fields if f.name not in partitions]
+    clash = [f"{f.name}: {known[f.name.lower()].dataType.simpleString()} is not {f.dataType.simpleString()}"
+             for f in wanted if f.name.lower() in known and known[f.name.lower()].dataType != f.dataType]
+    if clash:
+        raise ValueError(f"{name} cannot take the layout: {'; '.join(clash)}")
+    fresh = [f for f in wanted if f.name.lower() not in known]
+    if fresh:
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in fresh)})")
+    return [f.name for f in fresh]
+
+
+def add_partitions(spark: SparkSession, database: str, name: str, touched: DataFrame, partitions: Sequence[str]) -> int:
+    """Tell the catalog of the partitions a load wrote, and of these only; nothing is listed. Gives their number.
+
+    ``touched`` is brought to the driver: the days or months of a load. Partitions stand below the table's location as Spark writes them.
+    """
+    rows = touched.select(*partitions).distinct().collect()
+    if rows:
+        quoted = [", ".join("`{}` = '{}'".format(p, str(r[p]).replace("\\", "\\\\").replace("'", "\\'")) for p in partitions) for r in rows]
+        spark.sql(f"ALTER TABLE `{database}`.`{name}` ADD IF NOT EXISTS {' '.join(f'PARTITION ({q})' for q in quoted)}")
+    return len(rows)
+
+
 def partitions_of(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS `{database}`.`{name}`")
 
