@@ -281,9 +281,9 @@ def stream_alert_log(spark, d):
 
 @query("stream_fuel_monthly", folded_sql(_FUEL_SQL))
 def stream_fuel_monthly(spark, d):
-    """Monthly totals of a Silver that is rewritten meanwhile, from the feed, after every batch."""
+    """Monthly totals of a Silver that is rewritten meanwhile, from the feed, after every batch, with a fold in between."""
     out, layout = scratch(spark, "fuelstream"), jobs.silver_schema(spark)
-    _live_silver(spark, d, out, lambda feed: changes.accumulate_fuel(spark, feed, layout, f"{out}/fuel", f"{out}/fuel-checkpoint"))
+    _live_silver(spark, d, out, lambda feed: changes.accumulate_fuel(spark, feed, layout, f"{out}/fuel", f"{out}/fuel-checkpoint", fold_every=2))
     return settle(monthly.finish(changes.read_fuel(spark, f"{out}/fuel", layout)).select(*_FUEL_COLUMNS), 9)
 
 
@@ -296,3 +296,33 @@ def landing_to_products(spark, d):
                      layout.checkpoint("bronze"), glob="*.txt", shape=landing.LINES)
     medallion.build(spark, layout, AS_OF)
     return medallion.read_state(spark, layout).select(*(c.strip() for c in _STATE_SAMPLE.split(",")))
+
+
+@query("rebuilt_generation", f"""WITH {folded_sql(ALERTS)}, sums AS (SELECT (SELECT count(*) FROM silver WHERE event_year IS NOT NULL) AS silver_rows,
+      (SELECT count(*) FROM alerts WHERE event_year IS NOT NULL) AS alert_rows)
+    SELECT g AS generation, silver_rows, alert_rows, 55 AS silver_columns, silver_rows AS stored_rows, alert_rows AS stored_alerts FROM sums, (VALUES ('g1'), ('g2')) v(g)""")
+def rebuilt_generation(spark, d):
+    """Run summaries of a flow and of its rebuild from the same Bronze into another generation, beside what their tables hold."""
+    root = scratch(spark, "rebuilt")
+    first = medallion.Layout(_as_json(spark, d, f"{root}/landing", folded=True), f"{root}/lake")
+    jobs.land_bronze(spark, first.landing, first.bronze, first.quarantine, first.audit, first.checkpoint("bronze"), glob="*.txt", shape=landing.LINES)
+    found = None
+    for layout in (first, first.rebuilt("g2")):
+        medallion.build(spark, layout, AS_OF)
+        stored = medallion.read_silver(spark, layout).agg(F.count("*").alias("n")).scalar()
+        alerts = medallion.read_alerts(spark, layout).agg(F.count("*").alias("n")).scalar()
+        runs = spark.read.parquet(layout.runs).groupBy("silver_columns").agg(F.sum("silver_rows").alias("silver_rows"), F.sum("alert_rows").alias("alert_rows"))
+        rows = runs.select(F.lit(layout.generation).alias("generation"), "silver_rows", "alert_rows", "silver_columns", stored.alias("stored_rows"), alerts.alias("stored_alerts"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query("bronze_lineage", f"""WITH {FLAT}, lots AS (SELECT event_id, {_LOT} AS lot FROM flat)
+    SELECT event_id, concat('s3a://fleet-', CAST(lot % 2 AS VARCHAR), '/in/a b/', CAST(lot AS VARCHAR), '.json') AS source_file,
+      concat('fleet-', CAST(lot % 2 AS VARCHAR)) AS source_bucket, '1998' AS ingest_year, '09' AS ingest_month, '02' AS ingest_day FROM lots""")
+def bronze_lineage(spark, d):
+    """File and bucket of every event in Bronze, names decoded, and the day its file arrived."""
+    lot = F.expr(_LOT)
+    path = F.concat(F.lit("s3a://fleet-"), (lot % 2).cast("string"), F.lit("/in/a%20b/"), lot.cast("string"), F.lit(".json"))
+    rows = events(spark, d).withColumns({"file_path": path, "file_size": F.lit(1), "file_time": F.lit("1998-09-02 23:59:59").cast("timestamp")})
+    return to_bronze(rows).select("event_id", "source_file", "source_bucket", *schemas.INGEST_PARTITIONS)

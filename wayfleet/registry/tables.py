@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfleet.functions import alerts, insurance, ratios, status
-from wayfleet.functions.clock import date_parts, on_day
+from wayfleet.functions.clock import date_parts, event_time_or, on_day
 from wayfleet.functions.parsing import LEGACY_NUMERIC, iso_date, iso_timestamp, numeric, weekday_timestamp
 from wayfleet.functions.text import tidy, title_case
 from wayfleet.operators import monthly, quality
@@ -397,6 +397,26 @@ def quality_score(spark, d):
     return quality.quality_report(_gappy(spark, d), checks, by="o_orderpriority")
 
 
+@query("quality_nested", """SELECT event_type, count(*) AS record_count, 0 AS duplicate_count, count(*) - count(user_id) AS null_user_id,
+    count(CASE WHEN event_type <> 'view' AND event_id % 3 = 0 THEN 1 END) AS nested_rows_metrics, 0 AS error_count,
+    CASE WHEN count(*) > count(user_id) THEN 1 ELSE 0 END + CASE WHEN count(CASE WHEN event_type <> 'view' AND event_id % 3 = 0 THEN 1 END) = 0 THEN 1 ELSE 0 END AS warning_count,
+    100 - 5 * (CASE WHEN count(*) > count(user_id) THEN 1 ELSE 0 END + CASE WHEN count(CASE WHEN event_type <> 'view' AND event_id % 3 = 0 THEN 1 END) = 0 THEN 1 ELSE 0 END) AS quality_score,
+    '' AS missing_columns, true AS is_valid FROM events GROUP BY event_type""")
+def quality_nested(spark, d):
+    """The rule on nested records: present in a third of the events of most kinds, in none of one kind."""
+    rows = _events(spark, d).withColumn("metrics", F.when((F.col("event_type") != "view") & (F.col("event_id") % 3 == 0), F.struct("value")))
+    return quality.quality_report(rows, quality.Checks(required=("user_id",), ranges={}, unique=None), by="event_type")
+
+
+@query("event_time_fallback", """SELECT o_orderkey, strftime(o_orderdate, '%Y') AS event_year, strftime(o_orderdate, '%m') AS event_month, '1998' AS late_year, '09' AS late_month FROM orders""")
+def event_time_fallback(spark, d):
+    """Date parts from a column that is there, and from one that is absent, where the fallback stands in."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("at"))
+    moment = F.lit("1998-09-02 06:00:00").cast("timestamp")
+    here, gone = date_parts(event_time_or(rows, "at", moment), "event"), date_parts(event_time_or(rows, "no_such_column", moment), "late")
+    return rows.withColumns({**here, **gone}).select("o_orderkey", "event_year", "event_month", "late_year", "late_month")
+
+
 @query("quality_by_layer", f"""WITH {_GAPPY} SELECT 'ORDERS' AS layer, count(*) AS total_records, count(DISTINCT o_custkey) AS unique_keys,
     count(*) - count(o_orderstatus) AS missing, {rounded('avg(CASE WHEN o_totalprice BETWEEN 0 AND 250000 THEN 1e0 ELSE 0e0 END) * 100', 2)} AS valid_pct FROM gappy
     UNION ALL SELECT 'EVENTS', count(*), count(DISTINCT user_id), count(*) - count(props),

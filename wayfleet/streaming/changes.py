@@ -18,7 +18,7 @@ from wayfleet.functions.alerts import SLIM_RULES, Rule
 from wayfleet.operators.monthly import ATTRIBUTES, VEHICLE_MONTH, usable
 from wayfleet.operators.upsert import by_name
 from wayfleet.plans.gold import alert_log
-from wayfleet.sinks.batches import apply_batch, merged
+from wayfleet.sinks.batches import apply_batch, fold, merged
 from wayfleet.sinks.files import write_once
 from wayfleet.streaming.sources import drain, parquet_stream
 
@@ -125,11 +125,17 @@ def fuel_schema(spark: SparkSession, schema: T.StructType) -> T.StructType:
     return signed_fuel(schemas.empty(spark, feed_schema(schema))).schema
 
 
-def accumulate_fuel(spark: SparkSession, feed: str, schema: T.StructType, fuel: str, checkpoint: str, **source_options) -> StreamingQuery:
-    """Change feed -> monthly signed rows, one repeatable folder per micro-batch. Late events and retractions reach their own, possibly old, month."""
+def accumulate_fuel(spark: SparkSession, feed: str, schema: T.StructType, fuel: str, checkpoint: str, fold_every: int = 50,
+                    **source_options) -> StreamingQuery:
+    """Change feed -> monthly signed rows, one repeatable folder per micro-batch. Late events and retractions reach their own, possibly old, month.
+
+    Every ``fold_every`` batches the folders so far become one table, in which values that no row has any more are gone.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         apply_batch(signed_fuel(batch), fuel, str(batch_id))
+        if (batch_id + 1) % fold_every == 0:
+            fold(batch.sparkSession, fuel, fuel_schema(batch.sparkSession, schema), merge_fuel, schemas.MONTH_PARTITIONS)
 
     stream = change_stream(spark, feed, schema, **source_options)
     return drain(stream.writeStream.foreachBatch(load), checkpoint)
