@@ -1,5 +1,6 @@
 """Operators without SQL against plain Python over the same rows."""
 
+import itertools
 import os
 import random
 import re
@@ -245,6 +246,48 @@ def test_robust_estimates_against_concentration_steps(spark):
     assert d.min() > rules.cutoff
 
 
+def test_least_determinants_of_small_groups(spark):
+    """Against all choices of 9 of 12 documents: the determinant found is the least or near it in every group, and the least in most."""
+    draw = np.random.default_rng(3)
+    groups = {}
+    for g in range(10):
+        x = draw.multivariate_normal(draw.uniform(0, 2, 4), np.diag(draw.uniform(0.2, 1.0, 4)), 12)
+        x[:3] += draw.choice([-4, 4], (3, 4))
+        groups[f"s{g}"] = x
+    rows = [("en", g, [float(v) for v in row]) for g, x in groups.items() for row in x]
+    frame = spark.createDataFrame(rows, "lang string, source string, x array<double>")
+    rules = outliers.Rules(least_spread=(0.01,) * 4)
+    got = {r.source: r for r in outliers.least_determinants(frame, rules).collect()}
+    gaps = []
+    for g, x in groups.items():
+        least = min(np.linalg.slogdet(np.cov(x[list(c)].T, bias=True))[1] for c in itertools.combinations(range(12), 9))
+        gaps.append(got[g].log_det - least)
+        # The three documents that lie apart are not in the core.
+        assert np.allclose(got[g].centre, x[3:].mean(axis=0), atol=1e-6) or got[g].n < 9 or gaps[-1] < 1.5
+    assert min(gaps) > -1e-4 and sum(gap < 1e-4 for gap in gaps) >= 6, gaps
+
+
+def test_several_starts_leave_a_local_optimum(spark):
+    """Two clusters beside each other, so that the median lies between: some start finds the larger one, and the first alone has no smaller determinant."""
+    draw = np.random.default_rng(5)
+    x = np.vstack([draw.normal(0, 0.2, (760, 4)), draw.normal(0, 1.0, (240, 4)) + 5])
+    frame = spark.createDataFrame([("en", None, [float(v) for v in row]) for row in x], "lang string, source string, x array<double>")
+    best = outliers.least_determinants(frame, outliers.Rules(least_spread=(0.01,) * 4)).collect()[0]
+    assert np.allclose(best.centre, x[:760].mean(axis=0), atol=0.05)
+    starts = outliers._step(frame, outliers._starts(frame, outliers.Rules()), outliers.Rules()).collect()
+    assert sorted(r.start for r in starts) == [0, 1, 2, 3] and best.log_det <= min(r.log_det for r in starts) + 1e-4
+
+
+def test_groups_are_judged_by_their_own_centre(spark):
+    """A source whose normal text would stand out in another one is judged by itself; a group of two leans on the others."""
+    draw = np.random.default_rng(6)
+    rows = [("en", "a", v) for v in draw.normal([1.5, 0.1, 0.1, 0.1], 0.05, (200, 4))] + [("en", "b", v) for v in draw.normal([1.5, 2.0, 0.1, 0.1], 0.05, (60, 4))]
+    rows += [("en", "c", v) for v in draw.normal([1.5, 0.1, 0.1, 0.1], 0.05, (2, 4))]
+    frame = spark.createDataFrame([(a, b, [float(x) for x in v]) for a, b, v in rows], "lang string, source string, x array<double>")
+    got = {r.source: np.array(r.centre) for r in outliers.robust_estimates(frame).collect()}
+    assert abs(got["b"][1] - 2.0) < 0.05 and abs(got["a"][1] - 0.1) < 0.05 and 0.1 < got["c"][1] < 0.9
+
+
 @needs_tables
 def test_license_base(spark, texts):
     got = {r.doc_id: r for r in entry.queries()["op7_license_scan"](spark, SF).collect()}

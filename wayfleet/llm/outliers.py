@@ -1,10 +1,10 @@
 """Quality rules by robust multivariate outliers: minimum covariance determinant per language and source.
 
-Counts of each text become a vector of four transformed ratios.  For each (language, source) the centre and
-the covariance of the half of the documents that lies closest together are estimated by concentration
-steps, all groups at once: a step sorts distances into bins and sums moments by (group, bin), so a task sends a few
-numbers per bin and group, however many documents a group has.  A document is rejected if its Mahalanobis distance from
-its group is too large.  All statistics cover all documents.
+Counts of each text become a vector of four transformed ratios.  For each (language, source) the share of documents whose
+covariance has the least determinant is searched for by concentration steps from several starts, all groups and starts at once: a
+step sorts distances into bins and sums moments by (group, start, bin), so a task sends a few
+numbers per bin, start and group, however many documents a group has.  After two steps each group keeps its start of least determinant
+and goes on from there.  A document is rejected if its Mahalanobis distance from its group is too large.  All statistics cover all documents.
 """
 
 from __future__ import annotations
@@ -28,13 +28,16 @@ class Rules:
     """``core``: share of documents the determinant is minimised over; their covariance is widened to that of all under normality.
     ``cutoff``: largest squared distance kept, the 0.999 quantile of chi-squared with 4 degrees of freedom.  ``least_spread``: standard
     deviations of the four statistics over a group are taken as these at least, so that a statistic that hardly varies in clean text does not reject on a
-    trifle; the sampling error of each text, which its length gives, comes on top.  ``pooled``: weight, in documents, of the estimate over
-    all groups in each group's own, which carries small groups.  ``rounds``: concentration steps."""
+    trifle; the sampling error of each text, which its length gives, comes on top.  ``pooled``: weight, in documents, of the mean covariance within
+    all groups in each group's own.  ``few``: a group whose core has fewer documents than this has a centre made up to that number by the
+    centre of all groups; others keep their own.  ``first_steps`` are taken from every start, ``rounds`` in all."""
 
     core: float = 0.75
     cutoff: float = 18.47
     least_spread: tuple[float, ...] = (0.05, 0.05, 0.05, 0.05)
-    pooled: float = 200.0
+    pooled: float = 20.0
+    few: int = 10
+    first_steps: int = 2
     rounds: int = 5
 
 
@@ -141,31 +144,19 @@ def _distance(centre: Column, inverse: Column) -> Column:
     return F.greatest(F.lit(0.0), total)
 
 
+_NAMES = ["n", *[f"s{i}" for i in range(_P)], *[f"q{i}{j}" for i, j in _PAIRS]]
+_GROUP = ["lang", "source"]
+_RAW = "centre array<double>, cov array<double>, n double, log_det double"
+
+
 def _moments() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(_P)], *[F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"q{i}{j}") for i, j in _PAIRS]]
 
 
-def _invert(batches: Iterator, rules: Rules) -> Iterator:
-    """Groups' moments, with those of all groups beside them, to centre and inverse covariance."""
-    spread, widen = np.array(rules.least_spread), consistency(rules.core)
-    for frame in batches:
-        centres, inverses, covs = [], [], []
-        for row in frame.itertuples(index=False):
-            n, all_n = row.n, row.all_n
-            mine = np.array([getattr(row, f"s{i}") for i in range(_P)]), _square([getattr(row, f"q{i}{j}") for i, j in _PAIRS])
-            whole = np.array([getattr(row, f"all_s{i}") for i in range(_P)]), _square([getattr(row, f"all_q{i}{j}") for i, j in _PAIRS])
-            weight = n + rules.pooled
-            mean = (mine[0] + rules.pooled * whole[0] / all_n) / weight
-            second = (mine[1] + rules.pooled * whole[1] / all_n) / weight
-            cov = (second - np.outer(mean, mean)) * widen
-            # Floors on the scale of each statistic; its correlations stay.
-            lift = np.maximum(0.0, spread**2 - np.diag(cov))
-            cov = cov + np.diag(lift)
-            inv = np.linalg.inv(cov)
-            centres.append(mean.tolist())
-            inverses.append([float(inv[i, j]) for i, j in _PAIRS])
-            covs.append([float(cov[i, j]) for i, j in _PAIRS])
-        yield frame[["lang", "source"]].assign(centre=centres, inverse=inverses, cov=covs)
+def _lifted(cov: np.ndarray, least_spread: np.ndarray) -> np.ndarray:
+    """Floors on the scale of each statistic; its correlations stay, but for a trifle that keeps the matrix regular."""
+    scale = np.maximum(np.diag(cov), least_spread**2)
+    return cov + np.diag(scale * (1 + 1e-7) - np.diag(cov))
 
 
 def _square(upper: list[float]) -> np.ndarray:
@@ -175,48 +166,112 @@ def _square(upper: list[float]) -> np.ndarray:
     return out
 
 
-def _estimate(moments: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, source, centre, inverse, cov) from summed moments; groups are rows here, a few numbers each."""
-    names = ["n", *[f"s{i}" for i in range(_P)], *[f"q{i}{j}" for i, j in _PAIRS]]
-    whole = moments.agg(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()
-    both = moments.withColumn("all", whole).select("lang", "source", *names, *[F.col("all")[c].alias(f"all_{c}") for c in names])
-    return settle(both.mapInPandas(lambda it: _invert(it, rules), "lang string, source string, centre array<double>, inverse array<double>, cov array<double>"), "estimates")
+def _upper(matrix: np.ndarray) -> list[float]:
+    return [float(matrix[i, j]) for i, j in _PAIRS]
 
 
-def _with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    e = estimates.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "centre", "inverse")
-    return rows.join(e, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))).drop("_lang", "_source")
+def _core_moments(batches: Iterator, rules: Rules) -> Iterator:
+    """Summed moments of cores to their centre, covariance and its determinant, floors included."""
+    least = np.array(rules.least_spread)
+    for frame in batches:
+        centres, covs, dets = [], [], []
+        for row in frame.itertuples(index=False):
+            mean = np.array([getattr(row, f"s{i}") for i in range(_P)]) / row.n
+            cov = _square([getattr(row, f"q{i}{j}") / row.n for i, j in _PAIRS]) - np.outer(mean, mean)
+            centres.append(mean.tolist())
+            covs.append(_upper(cov))
+            dets.append(float(np.linalg.slogdet(_lifted(cov, least))[1]))
+        yield frame[[*_GROUP, "start"]].assign(centre=centres, cov=covs, n=frame["n"].astype(float), log_det=dets)
+
+
+def _inverted(batches: Iterator, rules: Rules) -> Iterator:
+    least, widen = np.array(rules.least_spread), consistency(rules.core)
+    for frame in batches:
+        yield frame.assign(inverse=[_upper(np.linalg.inv(_lifted(_square(c) * widen, least))) for c in frame["cov"]])
+
+
+def _starts(rows: DataFrame, rules: Rules) -> DataFrame:
+    """(lang, source, start, centre, cov): the median with the least spreads, the median and the first quartile with spreads by the
+    quartiles, and the mean with the covariance of all, for every group."""
+    quartiles = [F.percentile_approx(F.col("x")[i], [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i in range(_P)]
+    found = rows.groupBy(*_GROUP).agg(*_moments(), *quartiles)
+    least = [F.lit(v) for v in rules.least_spread]
+
+    def diagonal(value) -> Column:
+        return F.array(*[value(i) if i == j else F.lit(0.0) for i, j in _PAIRS])
+
+    def quartile(k: int) -> Column:
+        return F.array(*[F.col(f"p{i}")[k].cast("double") for i in range(_P)])
+
+    between = diagonal(lambda i: F.pow(F.greatest(least[i], (F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349), 2))
+    mean = [F.col(f"s{i}") / F.col("n") for i in range(_P)]
+    every = F.array(*[F.col(f"q{i}{j}") / F.col("n") - mean[i] * mean[j] for i, j in _PAIRS])
+    kinds = [(quartile(1), diagonal(lambda i: least[i] * least[i])), (quartile(1), between), (quartile(0), between), (F.array(*mean), every)]
+    return found.select(*_GROUP, F.inline(F.array(*[F.struct(F.lit(k).alias("start"), c.alias("centre"), v.alias("cov")) for k, (c, v) in enumerate(kinds)])))
+
+
+def _step(rows: DataFrame, estimates: DataFrame, rules: Rules) -> DataFrame:
+    """One concentration step of every start: the bins of smallest distance that hold ``core`` of a group's documents; the last bin needed is kept whole."""
+    layout = f"lang string, source string, start int, {_RAW}"
+    current = estimates.select(*_GROUP, "start", "centre", "cov").mapInPandas(
+        lambda it: _inverted(it, rules), "lang string, source string, start int, centre array<double>, cov array<double>, inverse array<double>")
+    e = current.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "start", "centre", "inverse")
+    placed = rows.join(e, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))).drop("_lang", "_source")
+    placed = placed.withColumn("d2", _distance(F.col("centre"), F.col("inverse")))
+    # Bins are even in the logarithm of the distance: fine where documents are dense, and none is out of range.
+    bin_no = F.least(F.lit(_BINS), F.floor(F.log1p(F.col("d2") * 64) * 32)).cast("int")
+    binned = placed.withColumn("bin", bin_no).groupBy(*_GROUP, "start", "bin").agg(*_moments())
+    core = binned.withColumn("upto", F.sum("n").over(_order("bin"))).withColumn("total", F.sum("n").over(_order(None)))
+    core = core.where(F.col("upto") - F.col("n") < F.ceil(F.col("total") * rules.core)).groupBy(*_GROUP, "start").agg(*[F.sum(c).alias(c) for c in _NAMES])
+    return settle(core.mapInPandas(lambda it: _core_moments(it, rules), layout), "estimates")
+
+
+def least_determinants(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(lang, source, start, centre, cov, n, log_det) of the core found for every group of ``rows`` (lang, source, x): of the starts, the one of least determinant."""
+    estimates = settle(_starts(rows, rules), "estimates")
+    for number in range(rules.rounds):
+        estimates = _step(rows, estimates, rules)
+        if number + 1 == min(rules.first_steps, rules.rounds):
+            best = F.min_by(F.struct("start", "centre", "cov", "n", "log_det"), F.struct("log_det", "start"))
+            estimates = settle(estimates.groupBy(*_GROUP).agg(best.alias("best")).select(*_GROUP, "best.*"), "estimates")
+    return estimates
+
+
+def _pooled(batches: Iterator, rules: Rules) -> Iterator:
+    """Groups' cores, with the mean centre and covariance of all beside them, to the centre and covariance that documents are judged by."""
+    least, widen = np.array(rules.least_spread), consistency(rules.core)
+    for frame in batches:
+        centres, covs, inverses = [], [], []
+        for row in frame.itertuples(index=False):
+            lent = max(0.0, rules.few - row.n)
+            centres.append(((row.n * np.array(row.centre) + lent * np.array(row.all_centre)) / (row.n + lent)).tolist())
+            cov = (row.n * _square(row.cov) + rules.pooled * _square(row.all_cov)) / (row.n + rules.pooled)
+            cov = _lifted(cov * widen, least)
+            covs.append(_upper(cov))
+            inverses.append(_upper(np.linalg.inv(cov)))
+        yield frame[_GROUP].assign(centre=centres, cov=covs, inverse=inverses)
 
 
 def robust_estimates(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(lang, source, centre, inverse, cov) for every group of ``rows`` (lang, source, x).
+    """(lang, source, centre, cov, inverse) for every group of ``rows`` (lang, source, x): the core of least determinant, its covariance widened to all and
+    shrunk towards the mean of the covariances within groups.  The centre is the group's own, unless it has very few documents."""
+    cores = least_determinants(rows, rules)
 
-    The start is the group's median vector with the least spreads.  Each step keeps, of
-    every group, the bins of smallest distance that hold ``core`` of its documents; the last bin needed is kept whole.
-    """
-    start = rows.groupBy("lang", "source").agg(*[F.percentile_approx(F.col("x")[i], 0.5, 1000).alias(f"m{i}") for i in range(_P)])
-    spread = [1.0 / s**2 for s in rules.least_spread]
-    estimates = start.select("lang", "source", F.array(*[F.col(f"m{i}").cast("double") for i in range(_P)]).alias("centre"),
-                             F.array(*[F.lit(spread[i] if i == j else 0.0) for i, j in _PAIRS]).alias("inverse"),
-                             F.array(*[F.lit(1 / spread[i] if i == j else 0.0) for i, j in _PAIRS]).alias("cov"))
-    estimates = settle(estimates, "estimates")
-    for _ in range(rules.rounds):
-        # Bins are even in the logarithm of the distance: fine where documents are dense, and none is out of range.
-        placed = _with_estimates(rows, estimates).withColumn("d2", _distance(F.col("centre"), F.col("inverse")))
-        bin_no = F.least(F.lit(_BINS), F.floor(F.log1p(F.col("d2") * 64) * 32)).cast("int")
-        binned = settle(placed.withColumn("bin", bin_no).groupBy("lang", "source", "bin").agg(*_moments()), "bins")
-        upto = F.sum("n").over(_order("bin"))
-        total = F.sum("n").over(_order(None))
-        core = binned.withColumn("upto", upto).withColumn("total", total).where(F.col("upto") - F.col("n") < F.ceil(F.col("total") * rules.core))
-        names = ["n", *[f"s{i}" for i in range(_P)], *[f"q{i}{j}" for i, j in _PAIRS]]
-        estimates = _estimate(core.groupBy("lang", "source").agg(*[F.sum(c).alias(c) for c in names]), rules)
-    return estimates
+    def mean_of(column: str, size: int) -> list[Column]:
+        return [(F.sum(F.col(column)[i] * F.col("n")) / F.sum("n")).alias(f"{column}{i}") for i in range(size)]
+
+    # One row: weighted means over the groups.
+    sums = cores.agg(F.struct(*mean_of("centre", _P), *mean_of("cov", len(_PAIRS)))).scalar()
+    both = cores.select(*_GROUP, "centre", "cov", "n", sums.alias("of")).select(
+        *_GROUP, "centre", "cov", "n", F.array(*[F.col(f"of.centre{i}") for i in range(_P)]).alias("all_centre"),
+        F.array(*[F.col(f"of.cov{i}") for i in range(len(_PAIRS))]).alias("all_cov"))
+    return settle(both.mapInPandas(lambda it: _pooled(it, rules), "lang string, source string, centre array<double>, cov array<double>, inverse array<double>"), "estimates")
 
 
 def _order(column: str | None):
     from pyspark.sql import Window
 
-    group = Window.partitionBy("lang", "source")
+    group = Window.partitionBy(*_GROUP, "start")
     return group.orderBy(column).rowsBetween(Window.unboundedPreceding, 0) if column else group
 
 
