@@ -1,9 +1,11 @@
 """Operators without SQL against plain Python over the same rows."""
 
 import itertools
+import math
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -203,6 +205,52 @@ def count_plainly(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
 
 
+@needs_tables
+def test_language_in_plain_python(spark):
+    """Counting, classifiers of all divisions of the languages, and loss-weighted decoding, one text at a time."""
+    slots = language.Settings().slots
+
+    def slots_of(text):
+        low = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode())
+        padded = b" " + low + b" "
+        grams = [padded[p : p + 4].ljust(4) for p in range(max(0, len(low) - 1))]
+        return [((int.from_bytes(g, "big") * 0x9E3779B97F4A7C15) % (1 << 64) >> 40) % (slots - 1) + 1 for g in grams if g[2:] != b"  "]
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    found = {r.doc_id: slots_of(r.text) for r in rows}
+    learned = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            counts = learned.setdefault(r.lang, {})
+            for x in found[r.doc_id]:
+                counts[x] = counts.get(x, 0) + 1
+    names = sorted(learned)
+    share = {n: (lambda c, total: lambda x: (c.get(x, 0) + 0.5) / total)(c, sum(c.values()) + 0.5 * slots) for n, c in learned.items()}
+    divisions = [[1 if d >> i & 1 else -1 for i in range(len(names))] for d in range(1, 2 ** (len(names) - 1))]
+
+    def weight(x, side):
+        mean = {s: [share[n](x) for n, y in zip(names, side) if y == s] for s in (1, -1)}
+        return math.log(sum(mean[1]) / len(mean[1])) - math.log(sum(mean[-1]) / len(mean[-1]))
+
+    table = np.array([[weight(x, side) for side in divisions] for x in range(slots)])
+    table[0] = 0
+    frequency = np.array([[share[n](x) for x in range(slots)] for n in names])
+    codes = np.array(divisions, float).T
+    signed = (frequency @ table) * codes
+    scale = np.abs(signed).mean(axis=0)
+    reliable = np.clip(signed.min(axis=0) / scale, 0.1, 1)
+    got = {r.doc_id: r for r in entry.queries()["op4_language_id"](spark, SF).collect()}
+    for r in rows:
+        if not re.search(r"[^\W\d_]", r.text or ""):
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        margin = table[found[r.doc_id]].sum(axis=0) / max(1, len(found[r.doc_id])) / scale
+        loss = (np.log1p(np.exp(-2 * margin * codes)) * reliable).sum(axis=1)
+        p = np.exp(-loss) / np.exp(-loss).sum()
+        assert got[r.doc_id].lang_pred == names[int(loss.argmin())] or np.sort(loss)[1] - loss.min() < 1e-4
+        assert got[r.doc_id].score == pytest.approx(p.max(), abs=1e-3)
+
+
 @needs_tables
 def test_quality_counts_and_verdicts(spark, texts):
     got = {r.doc_id: r for r in entry.queries()["op10_quality_rules"](spark, SF).collect()}

@@ -146,7 +146,9 @@ def _training_rows(documents: DataFrame, learn: Column, settings: Settings) -> D
     if not counts:
         return rows.limit(0).select("lang", "text")
     limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, settings.sample / n))])
-    return rows.where(F.coalesce(hash_share(F.col("doc_id")), F.lit(0.0)) < limits[F.col("lang")]).select("lang", "text")
+    # Rows without an id are drawn by their text, so they are a sample too.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    return rows.where(hash_share(key) < limits[F.col("lang")]).select("lang", "text")
 
 
 def train(documents: DataFrame, learn: Column, settings: Settings = Settings()) -> Model | None:
