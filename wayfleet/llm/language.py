@@ -182,7 +182,8 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
     Texts that are null or without a letter, and all texts if nothing was learned, are ``und`` with score 0.  ``score`` is the
     share of the best language when losses are read as log likelihoods.  Ties go to the first language by code
-    point.  Repeated rows repeat their result, an empty table gives an empty one, and other columns are ignored.
+    point.  Texts of any length are read whole, very long ones in pieces.  Repeated rows repeat their result, an empty table
+    gives an empty one, and other columns are ignored.
     """
     spark = documents.sparkSession
     bounded_batches(spark)

@@ -298,7 +298,7 @@ def judge(documents: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(doc_id, row_key, counts, base_failed, distance, kept) for every document.
 
     Documents that fail the base rules are not kept and take no part in the estimates: their ratios say little.  Null or
-    empty texts have no words, so they fail.  Null languages and sources are groups of their own.  ``distance`` is the squared
+    empty texts have no words, so they fail.  Null languages and sources are groups of their own.  Texts of any length are counted whole, by one task.  ``distance`` is the squared
     distance from the group in units of the group's spread and the text's own sampling error, null for failed documents.  Repeated rows repeat their result, an empty table gives an empty one, and
     other columns are ignored.
     """

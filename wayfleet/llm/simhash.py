@@ -357,8 +357,8 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
 
     ``root`` is a fingerprint that names the group.  Equal fingerprints are one node, however many documents have them.  ``component_id`` is the smallest doc_id
     among the documents that chains of links reach; null if none of them has an id.  Texts without words have
-    fingerprint 0 and link like any other.  Fewer words than a shingle are hashed as one.  Repeated rows
-    repeat their result; an empty table gives an empty one; other columns are ignored.
+    fingerprint 0 and link like any other.  Fewer words than a shingle are hashed as one.  Texts of any length are hashed whole, by one
+    task.  Repeated rows repeat their result; an empty table gives an empty one; other columns are ignored.
     """
     printed = settle(fingerprints(documents, shingle), "prints")
     distinct = settle(printed.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-prints")

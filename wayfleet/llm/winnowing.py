@@ -123,7 +123,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
     ``n_hit`` counts the words inside any occurrence of an item's window, ``items`` lists the ids of the items with such
     windows, sorted as strings.  Null text has no words and no hits.  An item without id
-    counts for hits and is not listed; items with equal ids are one.  Equal rows get equal results, each its own row; ``row_key`` is
+    counts for hits and is not listed; items with equal ids are one.  Texts of any length are read whole, by one task.  Equal rows get equal results, each its own row; ``row_key`` is
     a digest of id and text.  Empty documents or an empty benchmark give no rows or no hits.  Other columns are ignored.
     """
     spark = documents.sparkSession
