@@ -228,6 +228,8 @@ def test_readers(spark, tmp_path):
     assert landing.by_extension(spark, base, flat.schema).count() == 3
     with pytest.raises(ValueError):
         landing.by_extension(spark, base, flat.schema, ["xml"])
+    with pytest.raises(ValueError, match="CSV"):
+        landing.by_extension(spark, base, schemas.EVENT)
     paths = spark.createDataFrame([("s3a://bucket/in/a%20b.json",), ("file:///x/y+z.json",)], "p string")
     got = paths.select(landing.bucket_of(F.col("p")), landing.decoded_path(F.col("p"))).collect()
     assert [tuple(r) for r in got] == [("bucket", "s3a://bucket/in/a b.json"), (None, "file:///x/y z.json")]

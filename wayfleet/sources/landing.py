@@ -35,7 +35,8 @@ def parse_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
     Columns are found by the names in the header, without regard to case, whatever their order; one that is
     absent is NULL. A row with too many or too few fields, or a value that does not have its column's type,
-    is marked and keeps its text. All files of a path share one header; reading fails if one differs.
+    is marked and keeps its text. All files of a path share one header; reading fails if one differs. Values may hold line ends, which
+    ``parse_csv_lines`` cannot read; that one takes every file by its own header.
     """
     reader = spark.read.option("header", True).option("pathGlobFilter", glob)
     header = reader.csv(path).columns
@@ -56,8 +57,9 @@ def parse_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 
 def csv_rows(spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.csv") -> DataFrame:
-    """The usable rows of ``parse_csv``."""
-    return accepted(parse_csv(spark, path, schema, glob)).drop("file_path")
+    """The usable rows of ``parse_csv_lines``: every file under its own header. What it refuses is ``rejected`` of the same call."""
+    lines = landing_text(spark, path, glob, shape=LINES)
+    return accepted(parse_csv_lines(lines, schema)).drop("file_path", "file_size", "file_time")
 
 
 def parquet_rows(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
@@ -69,14 +71,15 @@ def parquet_rows(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 def by_extension(spark: SparkSession, path: str, schema: T.StructType,
                  extensions: Sequence[str] = EXTENSIONS) -> DataFrame:
-    """Everything readable in one folder, the reader chosen by file extension."""
+    """Everything readable in one folder, the reader chosen by file extension. CSV cannot hold a nested schema: then it must not be asked for."""
     unknown = set(extensions) - set(EXTENSIONS)
     if unknown:
         raise ValueError(f"unsupported file type: {sorted(unknown)}; supported: {list(EXTENSIONS)}")
     readers = {"json": json_documents, "csv": csv_rows, "parquet": parquet_rows}
-    flat = not any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in schema.fields)
-    wanted = [e for e in extensions if e != "csv" or flat]
-    return by_name(*(readers[e](spark, path, schema) for e in wanted))
+    nested = [f.name for f in schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    if nested and "csv" in extensions:
+        raise ValueError(f"CSV cannot hold {nested}; leave the extension out")
+    return by_name(*(readers[e](spark, path, schema) for e in extensions))
 
 
 def decoded_path(path: Column) -> Column:
