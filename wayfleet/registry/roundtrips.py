@@ -36,17 +36,24 @@ def settled(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None, folded: bool = False) -> str:
-    lines = events(spark, d, folded).select(F.to_json(F.struct("*")).alias("value"))
+# Landing text is kept packed: as plain text the nested records take a hundred times the room of the table they come from.
+_TEXTS = "*.txt.gz"
+
+
+def _write_text(lines: DataFrame, path: str, per_file: int | None = None) -> str:
     writer = lines.write.option("maxRecordsPerFile", per_file) if per_file else lines.write
-    writer.text(path)
+    writer.option("compression", "gzip").text(path)
     return path
 
 
+def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None, folded: bool = False) -> str:
+    return _write_text(events(spark, d, folded).select(F.to_json(F.struct("*")).alias("value")), path, per_file)
+
+
 @query("json_lines_scan", f"WITH {FLAT} SELECT {_SAMPLE} FROM flat")
 def json_lines_scan(spark, d):
     path = _as_json(spark, d, scratch(spark, "lines"))
-    records = landing.json_lines(spark, path, schemas.EVENT, glob="*.txt")
+    records = landing.json_lines(spark, path, schemas.EVENT, glob=_TEXTS)
     return settle(flatten_events(records).select(*_SAMPLE_COLUMNS))
 
 
@@ -56,8 +63,8 @@ def json_array_scan(spark, d):
     path = scratch(spark, "arrays")
     grouped = events(spark, d).groupBy(F.floor(F.monotonically_increasing_id() / 5000)).agg(
         F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    grouped.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    records = landing.json_documents(spark, path, schemas.EVENT, glob="*.txt")
+    _write_text(grouped.select("value"), path, 1)
+    records = landing.json_documents(spark, path, schemas.EVENT, glob=_TEXTS)
     return settle(flatten_events(records).select(*_SAMPLE_COLUMNS))
 
 
@@ -76,7 +83,7 @@ def csv_scan(spark, d):
 def ingest_roundtrip(spark, d):
     """Landing lines -> parsed records -> partitioned Bronze -> flat rows."""
     source = _as_json(spark, d, scratch(spark, "landing"))
-    parsed = landing.parse_landing(landing.landing_text(spark, source, glob="*.txt", shape=landing.LINES), schemas.EVENT)
+    parsed = landing.parse_landing(landing.landing_text(spark, source, glob=_TEXTS, shape=landing.LINES), schemas.EVENT)
     at = F.lit("1998-09-02 06:00:00").cast("timestamp")
     bronze = scratch(spark, "bronze")
     files.append_load(to_bronze(landing.accepted(parsed), at), bronze, schemas.INGEST_PARTITIONS, 0)
@@ -90,7 +97,7 @@ def ingest_roundtrip(spark, d):
 @query("load_audit", "SELECT count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, 'processed' AS status FROM lineitem")
 def load_audit_totals(spark, d):
     source = _as_json(spark, d, scratch(spark, "landing"))
-    audit = load_audit(landing.parse_landing(landing.landing_text(spark, source, glob="*.txt", shape=landing.LINES), schemas.EVENT))
+    audit = load_audit(landing.parse_landing(landing.landing_text(spark, source, glob=_TEXTS, shape=landing.LINES), schemas.EVENT))
     return audit.groupBy("status").agg(
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
 
@@ -109,8 +116,8 @@ def landing_rejects(spark, d):
     text = F.to_json(F.struct("*"))
     line = F.when(lot == 1, F.substring(text, 1, 40)).when(lot == 2, F.concat(text, F.lit(" "), text)).when(lot == 3, F.lit('{"other": {"layout": 1}}')).otherwise(text)
     path = scratch(spark, "broken")
-    events(spark, d).select(line.alias("value")).write.text(path)
-    parsed = landing.parse_landing(landing.landing_text(spark, path, glob="*.txt", shape=landing.LINES), schemas.EVENT)
+    _write_text(events(spark, d).select(line.alias("value")), path)
+    parsed = landing.parse_landing(landing.landing_text(spark, path, glob=_TEXTS, shape=landing.LINES), schemas.EVENT)
     good = landing.accepted(parsed).select("event_id", F.lit(None).cast("string").alias("reject_reason"), F.lit(1).cast("bigint").alias("n"))
     bad = landing.rejected(parsed).groupBy("reject_reason").agg(F.count("*").alias("n")).select(F.lit(None).cast("string").alias("event_id"), "reject_reason", "n")
     audit = load_audit(parsed).agg(F.sum("rows_loaded").alias("loaded"), F.sum("rows_rejected").alias("rejected"))
@@ -293,7 +300,7 @@ def landing_to_products(spark, d):
     root = scratch(spark, "flow")
     layout = medallion.Layout(_as_json(spark, d, f"{root}/landing", folded=True), f"{root}/lake")
     jobs.land_bronze(spark, layout.landing, layout.bronze, layout.quarantine, layout.audit,
-                     layout.checkpoint("bronze"), glob="*.txt", shape=landing.LINES)
+                     layout.checkpoint("bronze"), glob=_TEXTS, shape=landing.LINES)
     medallion.build(spark, layout, AS_OF)
     return medallion.read_state(spark, layout).select(*(c.strip() for c in _STATE_SAMPLE.split(",")))
 
@@ -305,7 +312,7 @@ def rebuilt_generation(spark, d):
     """Run summaries of a flow and of its rebuild from the same Bronze into another generation, beside what their tables hold."""
     root = scratch(spark, "rebuilt")
     first = medallion.Layout(_as_json(spark, d, f"{root}/landing", folded=True), f"{root}/lake")
-    jobs.land_bronze(spark, first.landing, first.bronze, first.quarantine, first.audit, first.checkpoint("bronze"), glob="*.txt", shape=landing.LINES)
+    jobs.land_bronze(spark, first.landing, first.bronze, first.quarantine, first.audit, first.checkpoint("bronze"), glob=_TEXTS, shape=landing.LINES)
     found = None
     for layout in (first, first.rebuilt("g2")):
         medallion.build(spark, layout, AS_OF)
