@@ -9,6 +9,8 @@ import pytest
 import __spark_entry__ as entry  # noqa: F401  fills the registry
 from wayfleet.registry.base import RUNS
 from wayfleet.session import scratch
+from wayfleet.sources import tables as sources
+from wayfleet.sources.tables import ROWS_A_TASK, parts_for
 
 ROWS = 600
 
@@ -44,3 +46,23 @@ def test_landing_text_takes_little_room(spark, tables, name, label):
         assert [(r["rows_loaded"], r["rows_rejected"]) for r in found] == [(ROWS, 0)]
     elif name != "landing_rejects":
         assert len(found) == ROWS
+
+
+@pytest.mark.parametrize("name", ["fleet_silver", "fleet_current_state", "report_quality", "fleet_fuel_merged"])
+def test_wide_events_are_not_shuffled_by_id(spark, tables, name, monkeypatch):
+    monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
+    plan = RUNS[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_event_id#" in plan and "hashpartitioning(event_id#" not in plan
+    assert "REPARTITION_BY_COL" not in plan  # adaptive execution would size tasks by the narrow rows
+
+
+def test_copies_of_an_event_meet_in_one_task(spark, tables, monkeypatch):
+    monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
+    found = RUNS["fleet_silver"](spark, tables)
+    ids = spark.read.parquet(f"{tables}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct().count()
+    assert ids < ROWS and found.count() == found.select("event_id").distinct().count() == ids
+
+
+def test_a_task_gets_no_more_rows_when_the_table_grows():
+    assert [parts_for(n, 12) for n in (0, 24_999, 60_000, 600_000, 36_000_000, 216_000_000)] == [1, 1, 2, 12, 90, 540]
+    assert all(n / parts_for(n, 1) <= ROWS_A_TASK for n in range(1, 10**7, 123_457))

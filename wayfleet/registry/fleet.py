@@ -123,11 +123,18 @@ _FOLDED_DUCK = "TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST({day_no} % 28 AS
 
 
 def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
-    """lineitem as nested telemetry events; ``folded`` puts them all in four weeks."""
+    """lineitem as nested telemetry events; ``folded`` puts them all in four weeks.
+
+    Rows are dealt out by their event id while they are narrow. Whatever groups events by id then needs no
+    second shuffle of the wide records, nor a sort on either side of it.
+    """
     expressions = _columns(_SPARK)
+    lines = table(spark, sf_dir, "lineitem")
+    narrow = lines.select(*_USED, F.expr(expressions["event_id"]).alias("_event_id"))
+    expressions["event_id"] = "_event_id"
     by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
     shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
-    rows = dealt_out(table(spark, sf_dir, "lineitem").select(*_USED), "l_orderkey", "l_linenumber")
+    rows = dealt_out(narrow, "_event_id", rows=lines.count())  # told by the file's footer
     if folded:
         rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
     return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))

@@ -90,6 +90,21 @@ def alias_view(spark: SparkSession, view: str, database: str, name: str) -> None
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM `{database}`.`{name}`")
 
 
-def dealt_out(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal narrow rows out by key before the work that makes them wide: a file with a single row group is one task otherwise."""
-    return df.repartition(*keys)
+# Narrow rows for one task, and the fewest for which a task of its own pays.
+ROWS_A_TASK, FEWEST_ROWS = 400_000, 25_000
+
+
+def parts_for(rows: int, cores: int) -> int:
+    """Over how many tasks to deal so many rows: every core has work, and none more than ``ROWS_A_TASK`` rows, however large the table."""
+    return max(1, -(-rows // ROWS_A_TASK), min(cores, rows // FEWEST_ROWS))
+
+
+def dealt_out(df: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """Deal narrow rows out by key before the work that makes them wide: a file with a single row group is one task otherwise.
+
+    With ``rows``, how many there are, the tasks are sized by what becomes of the rows. Adaptive execution sizes them by the narrow
+    rows it sees, and a task's memory would be many times that.
+    """
+    if rows is None:
+        return df.repartition(*keys)
+    return df.repartition(parts_for(rows, df.sparkSession.sparkContext.defaultParallelism), *keys)
