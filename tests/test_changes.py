@@ -56,6 +56,26 @@ def test_difference_counts_copies(spark):
     assert changes.difference(after, after).collect() == []
 
 
+def test_a_batch_is_merged_and_compared_in_one_pass(spark):
+    layout = "k int, t int, v string"
+    before = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 1, "c"), (4, 1, None), (None, 1, "n")], layout)
+    new = spark.createDataFrame([(1, 1, "a"), (2, 2, "B"), (3, 0, "old"), (5, 1, "e"), (None, 2, "N")], layout)
+    found = changes.merged_changes(before, new, ["k"], ["t"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([
+        (1, 1, "a", 0), (2, 1, "b", -1), (2, 2, "B", 1), (3, 1, "c", 0), (4, 1, None, 0), (5, 1, "e", 1), (None, 1, "n", -1), (None, 2, "N", 1)], key=str)
+    after = found.filter("change >= 0").drop("change")
+    assert sorted(map(tuple, changes.difference(before, after).collect()), key=str) == sorted(map(tuple, found.filter("change <> 0").collect()), key=str)
+
+
+def test_only_refused_text_is_held(spark):
+    texts = spark.createDataFrame([(json.dumps(event("a")),), ("{broken",)], "raw string").withColumns(
+        {"file_path": F.lit("f"), "file_size": F.lit(1), "file_time": F.lit("2025-11-06").cast("timestamp")})
+    parsed = jobs.without_used_text(landing.parse_landing(texts, schemas.EVENT))
+    assert sorted((r["event_id"], r["raw"]) for r in parsed.collect() if r["event_id"]) == [("a", None)]
+    assert [r["raw"] for r in landing.rejected(parsed).collect()] == ["{broken"]
+
+
 def fleet(spark):
     cars = [s["carChassis"] for s in scenarios()]
     return [
