@@ -7,9 +7,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry  # noqa: F401  fills the registry
+from wayfleet import schemas
 from wayfleet.registry.base import RUNS
 from wayfleet.session import scratch
-from wayfleet.sources import tables as sources
+from wayfleet.sources import landing, tables as sources
 from wayfleet.sources.tables import ROWS_A_TASK, parts_for
 
 ROWS = 600
@@ -66,3 +67,12 @@ def test_copies_of_an_event_meet_in_one_task(spark, tables, monkeypatch):
 def test_a_task_gets_no_more_rows_when_the_table_grows():
     assert [parts_for(n, 12) for n in (0, 24_999, 60_000, 600_000, 36_000_000, 216_000_000)] == [1, 1, 2, 12, 90, 540]
     assert all(n / parts_for(n, 1) <= ROWS_A_TASK for n in range(1, 10**7, 123_457))
+
+
+def test_a_csv_line_is_taken_apart_once(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([(1, "a", 2.5), (2, "b,c", None)], "n int, s string, x double").coalesce(1).write.option("header", True).csv(path)
+    found = landing.csv_rows(spark, path, schemas.record(n="bigint", s="string", x="double"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 2  # one for lines, one for headers
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 2.5), (2, "b,c", None)]

@@ -216,7 +216,9 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, required: Sequence[s
     headers = first.select(F.col("file_path").alias("_file"), F.col("_first._line").alias("_header"), names.alias("_names"))
     rows = numbered.join(headers, F.col("file_path") == F.col("_file"), "left").filter("_line <> _header OR _header IS NULL")
     line = F.rtrim(F.col("raw"), F.lit("\r"))
-    rows = rows.withColumn("_cells", _cells(line))
+    # Taken apart by a generator: a filter on what follows stays above it, instead of being pushed down with a copy of the
+    # pattern for every place that mentions a cell.
+    rows = rows.select("*", F.explode(F.array(_cells(line))).alias("_cells"))
     at = {f.name: F.array_position("_names", f.name.lower()).cast("int") for f in schema.fields}
     text = {n: F.when(at[n] > 0, _unquoted(F.get("_cells", at[n] - 1))) for n in at}
     columns = {f.name: text[f.name].try_cast(f.dataType) for f in schema.fields}
