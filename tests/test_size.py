@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry  # noqa: F401  fills the registry
 from wayfleet import schemas
+from wayfleet.operators import latest
 from wayfleet.registry.base import RUNS
 from wayfleet.session import scratch
 from wayfleet.sources import landing, tables as sources
@@ -76,3 +77,21 @@ def test_a_csv_line_is_taken_apart_once(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") <= 2  # one for lines, one for headers
     assert sorted(map(tuple, found.collect())) == [(1, "a", 2.5), (2, "b,c", None)]
+
+
+def test_published_state_writes_down_only_rows_that_may_win(spark, tables, monkeypatch):
+    monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
+    made, _ = scratched(spark, lambda: RUNS["publish_roundtrip"](spark, tables).collect(), "state-????????????")
+    rows = spark.read.parquet(made)
+    assert rows.count() == rows.select("car_chassis", "first").distinct().count() < ROWS / 3  # not all events
+
+
+def test_rows_that_may_be_latest_hold_the_latest(spark):
+    rows = [(None, "a", 9), ("e1", "a", 9), ("e1", "b", 1), ("e2", "a", 3), ("e3", "b", None), ("e4", None, 2), (None, None, 1), ("e5", "a", 9)]
+    df = spark.createDataFrame(rows, "id string, car string, n int").repartition(3, "id")
+    kept = latest.may_be_latest(df, ["car"], ["n"], "id", 3)
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in df.collect() if r.id not in ("e2", "e3"))
+    assert sorted(map(str, latest.latest_per_key(kept, ["car"], ["n"]).collect())) == sorted(map(str, latest.latest_per_key(df, ["car"], ["n"]).collect()))
+    # The session has more shuffle partitions than the rows are dealt over; they are not dealt anew.
+    plan = latest.may_be_latest(df, ["car"], ["n"], "id", 3)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(id#" in line and "ENSURE_REQUIREMENTS" in line]

@@ -33,6 +33,33 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return df.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
 
 
+def may_be_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], row_id: str,
+                  parts: int) -> DataFrame:
+    """Rows among which ``latest_per_key`` finds what it finds in ``df``: far fewer than ``df`` has.
+
+    Places are given to rows of keys, order and ``row_id`` alone, so no wide row is sorted or moved by key. With many keys
+    a task holds few rows of each and reduces little before the shuffle. The rows of the winning ids follow by a
+    join on the id, which needs no shuffle of ``df`` if it is dealt out by it over ``parts`` tasks; rows without an id all stay.
+    """
+    window = Window.partitionBy(*keys).orderBy(*_descending(order))
+    first = df.withColumn("_place", F.rank().over(window)).filter("_place = 1")
+    ids = first.filter(F.col(row_id).isNotNull()).select(F.col(row_id).alias("_winner"))
+    ids = ids.repartition(parts, "_winner").distinct()
+    return df.join(ids, F.col(row_id) == F.col("_winner"), "left_outer").filter(
+        F.col("_winner").isNotNull() | F.col(row_id).isNull()).drop("_winner")
+
+
+def beside_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], values: Sequence[str],
+                  digest: Column, name: str = "latest") -> DataFrame:
+    """Every row with the ``values`` of its key's latest row beside it, as a struct, by one sort.
+
+    ``order`` and ``digest`` settle which row that is as in ``latest_per_key``.
+    """
+    window = Window.partitionBy(*keys).orderBy(*_descending(order), digest.desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(name, F.first(F.struct(*values)).over(window))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Exact-row distinct; copies collapse before the shuffle."""
     return df.distinct()

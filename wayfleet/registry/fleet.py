@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from wayfleet import schemas
 from wayfleet.operators.flatten import EVENT_PATHS
 from wayfleet.registry.base import rounded, table
-from wayfleet.sources.tables import dealt_out
+from wayfleet.sources.tables import dealt_out, parts_for
 
 # Expressions that the two dialects spell differently.
 _SPARK = {
@@ -140,6 +140,11 @@ def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
     return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))
 
 
+def event_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Over how many tasks ``events`` deals its rows."""
+    return parts_for(table(spark, sf_dir, "lineitem").count(), spark.sparkContext.defaultParallelism)
+
+
 _BIGINTS = {
     "year", "model_year", "fuel_capacity_liters", "last_service_mileage", "trip_duration_minutes",
     "trip_max_speed_kmh", "current_mileage_km", "engine_temp_celsius", "oil_temp_celsius",
