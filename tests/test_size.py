@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry  # noqa: F401  fills the registry
 from wayfleet import schemas
-from wayfleet.operators import latest
+from wayfleet.operators import latest, monthly
 from wayfleet.registry.base import RUNS
 from wayfleet.session import scratch
 from wayfleet.sources import landing, tables as sources
@@ -79,6 +79,11 @@ def test_a_csv_line_is_taken_apart_once(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [(1, "a", 2.5), (2, "b,c", None)]
 
 
+def test_fuel_batches_write_down_only_what_totals_need(spark, tables):
+    made, _ = scratched(spark, lambda: RUNS["fuel_batches_roundtrip"](spark, tables).collect(), "fuel-????????????")
+    assert set(spark.read.parquet(made).columns) == {*monthly.INPUTS, "lot"}  # not the 55 of Silver
+
+
 def test_published_state_writes_down_only_rows_that_may_win(spark, tables, monkeypatch):
     monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
     made, _ = scratched(spark, lambda: RUNS["publish_roundtrip"](spark, tables).collect(), "state-????????????")

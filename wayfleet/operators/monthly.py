@@ -31,6 +31,9 @@ PARTIALS: dict[str, tuple[str, str]] = {
 }
 ATTRIBUTES = ("manufacturer", "model")
 _SEEN = "described_at"
+# All that ``partials`` reads.
+INPUTS = (*VEHICLE_MONTH, *ATTRIBUTES, "event_timestamp", "trip_distance_km", "trip_fuel_consumed_liters",
+          "trip_max_speed_kmh", "trip_duration_minutes", "fuel_efficiency_l_per_100km")
 
 
 def usable(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
