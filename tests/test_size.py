@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry  # noqa: F401  fills the registry
 from wayfleet import schemas
 from wayfleet.operators import latest, monthly
+from wayfleet.operators.reconcile import beside_survivor
 from wayfleet.registry.base import RUNS
 from wayfleet.session import scratch
 from wayfleet.sources import landing, tables as sources
@@ -100,3 +101,21 @@ def test_rows_that_may_be_latest_hold_the_latest(spark):
     # The session has more shuffle partitions than the rows are dealt over; they are not dealt anew.
     plan = latest.may_be_latest(df, ["car"], ["n"], "id", 3)._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "hashpartitioning(id#" in line and "ENSURE_REQUIREMENTS" in line]
+
+
+def test_layers_are_compared_in_one_pass(spark, tables, monkeypatch):
+    monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
+    found = RUNS["layer_side_by_side"](spark, tables)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    silver = {r.event_id: r for r in RUNS["fleet_silver"](spark, tables).collect()}
+    rows = found.collect()
+    assert {r.event_id for r in rows} == set(silver)
+    assert all((r.right_speed, r.right_engine) == (silver[r.event_id].trip_max_speed_kmh, silver[r.event_id].engine_temp_celsius) for r in rows)
+
+
+def test_a_layer_agrees_with_its_survivor_but_null_with_nothing(spark):
+    rows = [("a", 2, "x", 1), ("a", 1, "x", 2), ("a", 1, "y", 3), ("b", 1, None, 4), (None, 1, "x", 5), ("c", 1, "z", 6), ("c", 1, "z", 6)]
+    df = spark.createDataFrame(rows, "id string, at int, car string, v int")
+    found = beside_survivor(df, "id", ["at"], ["car"], {"v": ("v", "v")}, latest.content_hash(df))
+    assert sorted(map(tuple, found.collect())) == [("a", 1, 1), ("a", 2, 1), ("c", 6, 6), ("c", 6, 6)]

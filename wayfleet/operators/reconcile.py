@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfleet.operators.latest import content_hash
+from wayfleet.operators.latest import beside_latest, content_hash
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, compare: Sequence[str]) -> DataFrame:
@@ -51,6 +51,21 @@ def reconcile_summary(detail: DataFrame) -> DataFrame:
     )
 
 
+def beside_survivor(rows: DataFrame, key: str, order: Sequence[str], same: Sequence[str],
+                    pairs: Mapping[str, tuple[str, str]], digest: Column) -> DataFrame:
+    """``side_by_side`` of the rows that survived deduplication and the survivors, where both layers come from the same rows.
+
+    A row counts as the survivor of its ``key`` if it agrees with it in ``same``; NULLs agree with nothing. ``pairs``:
+    output stem -> (column of the one layer, column of the other). One pass and one sort, no join.
+    """
+    both = beside_latest(rows, [key], order, [*same, *(r for _, r in pairs.values())], digest, "_survivor")
+    agrees = F.col(key).isNotNull()
+    for name in same:
+        agrees = agrees & (F.col(name) == F.col(f"_survivor.{name}"))
+    shown = [(F.col(l).alias(f"left_{stem}"), F.col(f"_survivor.{r}").alias(f"right_{stem}")) for stem, (l, r) in pairs.items()]
+    return both.filter(agrees).select(key, *(l for l, _ in shown), *(r for _, r in shown))
+
+
 def side_by_side(left: DataFrame, right: DataFrame, key: str, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Inner join on a unique key showing the same fact in both layers.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfleet.functions import insurance, ratios, status
@@ -17,9 +19,9 @@ EVENT_RECENCY = ("event_timestamp", "processing_timestamp")
 STATE_RECENCY = ("current_mileage_km", "event_timestamp", "processing_timestamp", "event_id")
 
 
-def flatten_events(bronze: DataFrame) -> DataFrame:
-    """The 47 flat columns, event time parsed."""
-    flat = pick(bronze, EVENT_PATHS)
+def flatten_events(bronze: DataFrame, more: Mapping[str, str] | None = None) -> DataFrame:
+    """The 47 flat columns, event time parsed; ``more``: further columns by their path."""
+    flat = pick(bronze, {**EVENT_PATHS, **(more or {})})
     return flat.withColumn("event_timestamp", iso_timestamp(F.col("event_timestamp")))
 
 
