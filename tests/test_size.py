@@ -9,8 +9,12 @@ import pytest
 import __spark_entry__ as entry  # noqa: F401  fills the registry
 from wayfleet import schemas
 from wayfleet.operators import latest, monthly
+from wayfleet.operators.flatten import EVENT_PATHS
 from wayfleet.operators.reconcile import beside_survivor
+from wayfleet.plans.silver import dated, flatten_events, silver
 from wayfleet.registry.base import RUNS
+from wayfleet.registry.fleet import events
+from wayfleet.registry.telemetry import AS_OF
 from wayfleet.session import scratch
 from wayfleet.sources import landing, tables as sources
 from wayfleet.sources.tables import ROWS_A_TASK, parts_for
@@ -124,3 +128,19 @@ def test_a_layer_agrees_with_its_survivor_but_null_with_nothing(spark):
 def test_the_fuel_report_works_silver_out_once(spark, tables):
     plan = RUNS["report_fuel"](spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "recent-fuel" in plan and "lineitem" not in plan
+
+
+@pytest.mark.parametrize("made", [
+    lambda spark, at: RUNS["fleet_flatten"](spark, at),
+    lambda spark, at: dated(silver(events(spark, at), AS_OF)).select("event_id", "car_chassis", *schemas.MONTH_PARTITIONS)], ids=["fleet_flatten", "compaction_roundtrip"])
+def test_records_that_are_only_taken_apart_are_not_built(spark, tables, made):
+    plan = made(spark, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct" not in plan
+    assert plan.count("timestampadd") <= 6  # a moment that nine columns share is worked out for them all
+
+
+def test_records_hold_the_values_of_the_flat_columns(spark, tables):
+    whole = spark.createDataFrame(events(spark, tables).collect(), schemas.EVENT)  # built for good
+    names = list(EVENT_PATHS)
+    rows = sorted(map(str, flatten_events(whole).select(*names).collect()))
+    assert len(rows) == ROWS and rows == sorted(map(str, flatten_events(events(spark, tables)).select(*names).collect()))

@@ -20,7 +20,7 @@ from wayfleet.sources.tables import dealt_out, parts_for
 _SPARK = {
     "day_no": "datediff(CAST(l_shipdate AS DATE), DATE '1995-01-01')",
     "iso": lambda s: f"date_format(timestampadd(SECOND, CAST({s} AS INT), l_shipdate), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
-    "day": lambda n: f"date_format(date_add(DATE '1998-09-02', CAST({n} AS INT)), 'yyyy-MM-dd')",
+    "day": lambda n: f"CAST(date_add(DATE '1998-09-02', CAST({n} AS INT)) AS STRING)",
 }
 _DUCK = {
     "day_no": "date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))",
@@ -38,10 +38,11 @@ def _shared(d: dict) -> dict[str, str]:
     }
 
 
-def _columns(d: dict) -> dict[str, str]:
-    """Flat column -> SQL expression over lineitem and the shared values."""
+def _columns(d: dict, in_place: bool = False) -> dict[str, str]:
+    """Flat column -> SQL expression over lineitem and the shared values; ``in_place``: over lineitem alone."""
     iso, day = d["iso"], d["day"]
-    mileage, plain, tenths = "_mileage", "_taken", "_whole_price"
+    shared = {name: f"({text})" if in_place else name for name, text in _shared(d).items()}
+    mileage, plain, tenths = shared["_mileage"], shared["_taken"], shared["_whole_price"]
     electric = "l_suppkey % 3 = 0"
     at = f"CASE WHEN l_partkey % 211 = 0 THEN concat({plain}, '?') ELSE {plain} END"
 
@@ -114,6 +115,14 @@ def _nested(schema: T.StructType, by_path: dict[str, str], above: str = "") -> l
     return built
 
 
+def _kinds(schema: T.StructType, above: str = "") -> dict[str, T.DataType]:
+    """Type of every path of a nested layout."""
+    found: dict[str, T.DataType] = {}
+    for f in schema.fields:
+        found |= _kinds(f.dataType, f"{above}{f.name}.") if isinstance(f.dataType, T.StructType) else {f"{above}{f.name}": f.dataType}
+    return found
+
+
 _USED = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
          "l_tax", "l_shipdate")
 
@@ -127,17 +136,22 @@ def events(spark: SparkSession, sf_dir: str, folded: bool = False) -> DataFrame:
 
     Rows are dealt out by their event id while they are narrow. Whatever groups events by id then needs no
     second shuffle of the wide records, nor a sort on either side of it.
+
+    All values are worked out in one step, from lineitem alone, and the records put together in the next, of plain columns. So
+    Spark drops records that are only taken apart again. With values still to be worked out inside them it would build every record.
     """
-    expressions = _columns(_SPARK)
+    expressions, kinds = _columns(_SPARK, in_place=True), _kinds(schemas.EVENT)
     lines = table(spark, sf_dir, "lineitem")
     narrow = lines.select(*_USED, F.expr(expressions["event_id"]).alias("_event_id"))
-    expressions["event_id"] = "_event_id"
-    by_path = {path: expressions[name] for name, path in EVENT_PATHS.items()}
-    shared = {name: F.expr(text) for name, text in _shared(_SPARK).items()}
     rows = dealt_out(narrow, "_event_id", rows=lines.count())  # told by the file's footer
     if folded:
         rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
-    return rows.withColumns(shared).select(*_nested(schemas.EVENT, by_path))
+    # What several columns share comes from one column; as they all refer to it, Spark keeps the two steps apart.
+    alike = {name: short for name, text in _columns(_SPARK).items() for short in _shared(_SPARK) if text == short}
+    expressions["event_id"] = "_event_id"
+    own = [F.expr(text).cast(kinds[EVENT_PATHS[name]]).alias(name) for name, text in expressions.items() if name not in alike]
+    values = rows.select(*own, *(F.expr(text).alias(short) for short, text in _shared(_SPARK).items() if short in alike.values()))
+    return values.select(*_nested(schemas.EVENT, {path: alike.get(name, name) for name, path in EVENT_PATHS.items()}))
 
 
 def event_parts(spark: SparkSession, sf_dir: str) -> int:
