@@ -14,6 +14,7 @@ from wayfleet import schemas
 from wayfleet.operators import monthly
 from wayfleet.plans.bronze import to_bronze
 from wayfleet.plans.gold import alert_log, fuel_monthly
+from wayfleet.plans.silver import event_days, silver
 from wayfleet.sinks import files, idindex
 from wayfleet.sources import landing
 from wayfleet.streaming import changes, jobs
@@ -165,3 +166,98 @@ def test_new_ids_open_no_entries(spark):
     asked = spark.createDataFrame([("e17",)], "event_id string")
     plan = idindex.lookup(asked, base, idindex.DAYS, buckets=16)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*load_id#\d+ = l0", plan) and re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = \d+", plan)
+
+
+def test_a_batch_moves_its_rows_once(spark, monkeypatch):
+    """Rows of a batch are shuffled by id for its own copies; the merge with stored rows moves only those."""
+    lake, plans, write = Lake(spark), [], jobs.write_apart
+
+    def write_apart(df, path, kind):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path, kind)
+
+    monkeypatch.setattr(jobs, "write_apart", write_apart)
+    for batch in fleet(spark)[:2]:
+        lake.deliver(batch)
+    assert plans[1].count("hashpartitioning(event_id#") == 2
+    written = set(files.folder_names(spark, f"{lake.base}/deltas/{files.folder_names(spark, f'{lake.base}/deltas')[0]}/batch=1"))
+    assert written == {"new_days", "days", "signed"}  # Silver of the batch alone is not written down
+    assert lake.rows().count() == 3
+
+
+def test_published_rows_are_moved_not_copied(spark):
+    """The folder is renamed into the feed; a repetition finds it there, and a batch without changes publishes an empty one."""
+    lake, (one, two, _) = Lake(spark), fleet(spark)
+    lake.deliver(one)
+    at = f"{lake.base}/deltas/{files.folder_names(spark, f'{lake.base}/deltas')[0]}"
+    assert files.folder_names(spark, f"{at}/batch=0/signed") == []  # no kept rows, and the others are in the feed
+
+    def broken(change, batch_id):
+        raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        lake.deliver(two, then=broken)
+    lake.deliver([])
+    assert {(r.event_id, r.event_day) for r in lake.rows().collect()} == {("x", "06"), ("y", "05"), ("z", "05")}
+    assert {(r.event_id, r.event_day, r.n) for r in lake.netted().collect()} == {("x", "06", 1), ("y", "05", 1), ("z", "05", 1)}
+    lake.deliver(two)
+    assert len(files.folder_names(spark, lake.feed)) == 3 and lake.netted().count() == 3
+    assert spark.read.schema(changes.feed_schema(lake.layout)).parquet(f"{lake.feed}/{files.folder_names(spark, lake.feed)[-1]}").count() == 0
+
+
+def test_undated_rows_stay_apart(spark):
+    """An event that comes without a time, whether or not it is stored already, leaves Silver alone and is kept as undated."""
+    lake, car = Lake(spark), scenarios()[0]["carChassis"]
+    lake.deliver([event("x", car, "2025-11-05T08:00:00Z"), event("u", car, "soon")])
+    lake.deliver([event("x", car, "never"), event("v", car, "later"), event("w", car, "2025-11-06T08:00:00Z"), event("w", car, "?")])
+    assert {(r.event_id, r.event_day) for r in lake.rows().collect()} == {("x", "05"), ("w", "06")}
+    kept = spark.read.schema(lake.layout).parquet(f"{lake.base}/undated")
+    assert sorted(r.event_id for r in kept.collect()) == ["u", "v", "x"]
+    assert {(r.event_id, r.n) for r in lake.netted().collect()} == {("x", 1), ("w", 1)}
+
+
+def test_a_batch_that_an_older_release_wrote_down_is_finished(spark):
+    """Its rows stand in one folder and its Silver in another; a new checkpoint finishes it."""
+    lake, (one, two, _) = Lake(spark), fleet(spark)
+    lake.deliver(one)
+
+    def broken(change, batch_id):
+        raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        lake.deliver([*two, event("u", scenarios()[0]["carChassis"], "soon")], then=broken)
+    stream = files.folder_names(spark, f"{lake.base}/deltas")[0]
+    at, name = f"{lake.base}/deltas/{stream}/batch=1", f"batch={stream}-1"
+    signed = changes.feed_schema(lake.layout)
+    parts = [spark.read.schema(signed).parquet(f"{lake.feed}/{name}"), spark.read.schema(signed).parquet(f"{at}/signed/kind=kept")]
+    aside = spark.read.schema(signed).parquet(f"{at}/signed/kind=undated").drop(changes.SIGN)
+    parts[0].union(parts[1]).write.parquet(f"{at}/merged")
+    changes.came(parts[0]).union(aside).write.parquet(f"{at}/new")
+    for path in (f"{at}/signed", f"{lake.feed}/{name}", f"{lake.base}/undated", f"{lake.base}/ids"):
+        files.remove(spark, path)
+    lake.deliver([], checkpoint="second")
+    assert {(r.event_id, r.event_day) for r in lake.rows().collect()} == {("x", "06"), ("y", "05"), ("z", "05")}
+    assert {(r.event_id, r.event_day, r.n) for r in lake.netted().collect()} == {("x", "06", 1), ("y", "05", 1), ("z", "05", 1)}
+    assert {r.event_id for r in spark.read.schema(lake.layout).parquet(f"{lake.base}/undated").collect()} == {"u"}
+
+
+def test_event_days_are_those_of_silver(spark):
+    cars = [s["carChassis"] for s in scenarios()]
+    batch = [event("a", cars[0], "2025-11-05T08:00:00Z"), event("a", cars[0], "2025-12-06T08:00:00Z"), event("b", cars[1], "?"), event("b", cars[1], "2025-01-01T00:00:00Z"),
+             event("c", cars[0], "?"), event(None, cars[0], "2025-11-07T08:00:00Z"), event(None, cars[1], "2025-11-08T08:00:00Z")]
+    rows = spark.createDataFrame([(json.dumps(e),) for e in batch], "raw string").select(F.from_json("raw", schemas.EVENT).alias("r")).select("r.*")
+    columns = ["event_id", *schemas.EVENT_PARTITIONS]
+    assert sorted(map(str, event_days(rows).select(*columns).collect())) == sorted(map(str, silver(rows, AS_OF).select(*columns).collect()))
+
+
+def test_landed_rows_are_written_down_not_held(spark, monkeypatch):
+    base, cars = tempfile.mkdtemp(prefix="run-"), [s["carChassis"] for s in scenarios()]
+    lines = [json.dumps(event("a", cars[0])), "{broken", json.dumps(event("b", cars[1]))]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/landing")
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a: pytest.fail("rows were held"))
+    jobs.land_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/quarantine", f"{base}/audit", f"{base}/checkpoint", glob="*.txt", shape=landing.LINES)
+    assert sorted(r.event_id for r in spark.read.schema(schemas.BRONZE).parquet(f"{base}/bronze").collect()) == ["a", "b"]
+    assert [r.raw for r in spark.read.parquet(f"{base}/quarantine").collect()] == ["{broken"]
+    (audit,) = spark.read.parquet(f"{base}/audit").collect()
+    assert (audit.rows_loaded, audit.rows_rejected, audit.status) == (2, 1, "partial")
+    assert files.folder_names(spark, f"{base}/checkpoint_parsed") == []
