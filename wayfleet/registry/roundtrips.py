@@ -113,7 +113,9 @@ def landing_rejects(spark, d):
     line = F.when(lot == 1, F.substring(text, 1, 40)).when(lot == 2, F.concat(text, F.lit(" "), text)).when(lot == 3, F.lit('{"other": {"layout": 1}}')).otherwise(text)
     path = scratch(spark, "broken")
     _write_text(events(spark, d).select(line.alias("value")), path)
-    parsed = landing.parse_landing(landing.landing_text(spark, path, glob=_TEXTS, shape=landing.LINES), schemas.EVENT)
+    lines = jobs.without_used_text(landing.parse_landing(landing.landing_text(spark, path, glob=_TEXTS, shape=landing.LINES), schemas.EVENT))
+    # Parsed once, as three outputs start from it; written down is what they are made of.
+    parsed = settled(lines.select("event_id", "raw", "file_path", "file_size", "file_time", "reject_reason"), scratch(spark, "parsed"))
     good = landing.accepted(parsed).select("event_id", F.lit(None).cast("string").alias("reject_reason"), F.lit(1).cast("bigint").alias("n"))
     bad = landing.rejected(parsed).groupBy("reject_reason").agg(F.count("*").alias("n")).select(F.lit(None).cast("string").alias("event_id"), "reject_reason", "n")
     audit = load_audit(parsed).agg(F.sum("rows_loaded").alias("loaded"), F.sum("rows_rejected").alias("rejected"))

@@ -138,7 +138,8 @@ def _closer_look(text: Column, whole: Column, schema: T.StructType, piece) -> Co
         return piece(t, one, F.from_json(F.when(one, t), schema))
 
     lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.trim(line) != "")
-    some_record = F.exists(lines, lambda line: F.ltrim(line).startswith("{") & is_one_value(line))
+    # The only line of a text that is not one value is no record.
+    some_record = F.contains(text, F.lit("\n")) & F.exists(lines, lambda line: F.ltrim(line).startswith("{") & is_one_value(line))
     elements = F.from_json(text, T.ArrayType(T.StringType()))
     return (
         F.when(whole & F.ltrim(text).startswith("["), F.transform(elements, lambda t: parsed(t, F.lit(True))))
