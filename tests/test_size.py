@@ -17,6 +17,7 @@ from wayfleet.registry.base import RUNS
 from wayfleet.registry.fleet import events
 from wayfleet.registry.telemetry import AS_OF
 from wayfleet.session import scratch
+from wayfleet.sinks import files
 from wayfleet.sources import landing, tables as sources
 from wayfleet.sources.tables import ROWS_A_TASK, parts_for
 
@@ -177,3 +178,39 @@ def test_monthly_events_are_the_dated_rows_of_silver(spark, tmp_path):
                                         ("evt_6_1", "1996", "01"), ("evt_7_1", "1996", "01")}
     assert {k: v for k, v in found.items() if k[0] != "evt_2_1"} == {k: v for k, v in whole.items() if k[0] != "evt_2_1"}
     assert found["evt_2_1", "1996", "01"] in ("VIN-1", "VIN-3601")
+
+
+def test_broken_lines_are_parsed_once(spark, tables):
+    made, found = scratched(spark, lambda: RUNS["landing_rejects"](spark, tables), "parsed")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert made in plan and "json" not in plan  # three outputs of what was written down
+    parsed = spark.read.parquet(made)
+    assert parsed.count() == ROWS and parsed.filter("(raw IS NULL) = (reject_reason IS NULL)").count() == ROWS  # text of the refused only
+    rows = found.collect()
+    assert sum(r.n for r in rows if r.event_id != "audit") == sum(r.n for r in rows if r.event_id == "audit") == ROWS
+
+
+def test_bronze_of_one_day_is_written_by_the_tasks_that_parse_it(spark, tables, monkeypatch):
+    monkeypatch.setattr(files, "spread", lambda *a: pytest.fail("rows were gathered"))
+    monkeypatch.setattr(sources, "FEWEST_ROWS", 100)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    made, found = scratched(spark, lambda: RUNS["ingest_roundtrip"](spark, tables), "bronze")
+    written = glob.glob(f"{made}/**/part-*", recursive=True)
+    assert len(written) > 1 and all(f.endswith(".zstd.parquet") for f in written) and found.count() == ROWS
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_arrays_are_made_without_moving_records(spark, tables, monkeypatch):
+    plans, write = [], roundtrips._write_text
+    monkeypatch.setattr(roundtrips, "_write_text", lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a))[1])
+    assert RUNS["json_array_scan"](spark, tables).count() == ROWS
+    (plan,) = plans
+    assert plan.count("Exchange") == 1 and "l_tax" in next(x for x in plan.splitlines()[::-1] if "Project" in x)
+
+
+def test_lots_hold_all_rows_and_no_more_than_asked_for(spark, tables):
+    made = events(spark, tables, lots_of=7)
+    sizes = [r["count"] for r in made.groupBy("_lot").count().collect()]
+    assert sum(sizes) == ROWS and max(sizes) == 7 and len(sizes) >= ROWS / 7
+    assert made.rdd.getNumPartitions() == -(-ROWS // 70)  # few lots a task
+    assert sorted(map(str, made.drop("_lot").collect())) == sorted(map(str, events(spark, tables).collect()))

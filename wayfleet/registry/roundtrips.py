@@ -43,7 +43,7 @@ def _write_text(lines: DataFrame, path: str, per_file: int | None = None) -> str
 
 
 def _as_json(spark: SparkSession, d: str, path: str, per_file: int | None = None, folded: bool = False) -> str:
-    return _write_text(events(spark, d, folded).select(F.to_json(F.struct("*")).alias("value")), path, per_file)
+    return _write_text(events(spark, d, folded, in_order=True).select(F.to_json(F.struct("*")).alias("value")), path, per_file)
 
 
 @query("json_lines_scan", f"WITH {FLAT} SELECT {_SAMPLE} FROM flat")
@@ -82,7 +82,8 @@ def ingest_roundtrip(spark, d):
     parsed = landing.parse_landing(landing.landing_text(spark, source, glob=_TEXTS, shape=landing.LINES), schemas.EVENT)
     at = F.lit("1998-09-02 06:00:00").cast("timestamp")
     bronze = scratch(spark, "bronze")
-    files.append_load(to_bronze(landing.accepted(parsed), at), bronze, schemas.INGEST_PARTITIONS, 0)
+    # One day, and a file for each landing file: nothing to gather.
+    files.append_load(to_bronze(landing.accepted(parsed), at), bronze, schemas.INGEST_PARTITIONS, 0, as_read=True, codec=files.PACKED)
     stored = spark.read.schema(schemas.BRONZE).parquet(bronze).filter("ingest_year = '1998' AND ingest_month = '09'")
     wanted = {c: EVENT_PATHS[c] for c in _SAMPLE_COLUMNS}
     stamps = {c: c for c in (*schemas.INGEST_PARTITIONS, "ingestion_timestamp")}
