@@ -149,17 +149,24 @@ def events(spark: SparkSession, sf_dir: str, folded: bool = False, lots_of: int
     expressions, kinds = _columns(_SPARK, in_place=True), _kinds(schemas.EVENT)
     lines = table(spark, sf_dir, "lineitem")
     narrow = lines.select(*_USED, F.expr(expressions["event_id"]).alias("_event_id"))
-    rows = dealt_out(narrow, "_event_id", rows=lines.count())  # told by the file's footer
+    if lots_of:
+        # A lot is numbered in the task that reads its rows, and rows are dealt out by lot in place of id: what gathers lots moves no records.
+        n = lines.count()
+        rows = narrow.withColumn(LOT, F.floor(F.monotonically_increasing_id() / lots_of)).repartition(
+            max(parts_for(n, spark.sparkContext.defaultParallelism), -(-n // (LOTS_A_TASK * lots_of))), LOT)
+    else:
+        rows = dealt_out(narrow, "_event_id", rows=lines.count())  # told by the file's footer
     if folded:
         rows = rows.withColumn("l_shipdate", F.expr(_FOLDED_SPARK.format(**_SPARK)))
+    if in_order:
+        rows = rows.sortWithinPartitions("l_shipdate", "l_partkey")
     # What several columns share comes from one column; as they all refer to it, Spark keeps the two steps apart.
     alike = {name: short for name, text in _columns(_SPARK).items() for short in _shared(_SPARK) if text == short}
     expressions["event_id"] = "_event_id"
     own = [F.expr(text).cast(kinds[EVENT_PATHS[name]]).alias(name) for name, text in expressions.items() if name not in alike]
-    values = rows.select(*own, *(F.expr(text).alias(short) for short, text in _shared(_SPARK).items() if short in alike.values()))
-    return values.select(*_nested(schemas.EVENT, {path: alike.get(name, name) for name, path in EVENT_PATHS.items()}))
-    if in_order:
-        rows = rows.sortWithinPartitions("l_shipdate", "l_partkey")
+    lot = [LOT] if lots_of else []
+    values = rows.select(*own, *(F.expr(text).alias(short) for short, text in _shared(_SPARK).items() if short in alike.values()), *lot)
+    return values.select(*_nested(schemas.EVENT, {path: alike.get(name, name) for name, path in EVENT_PATHS.items()}), *lot)
 
 
 def event_parts(spark: SparkSession, sf_dir: str) -> int:

@@ -18,7 +18,7 @@ from wayfleet.plans.bronze import load_audit, require, to_bronze
 from wayfleet.plans.gold import alert_log
 from wayfleet.plans.silver import EVENT_RECENCY, STATE_RECENCY, dated, flatten_events, one_row_per_event, silver
 from wayfleet.registry.base import query, rounded, settled, table
-from wayfleet.registry.fleet import ALERTS, FLAT, FUEL, SILVER, STATE, event_parts, events, folded_sql, state_sql
+from wayfleet.registry.fleet import ALERTS, FLAT, FUEL, LOT, SILVER, STATE, event_parts, events, folded_sql, state_sql
 from wayfleet.registry.telemetry import AS_OF, settle
 from wayfleet.session import scratch
 from wayfleet.sinks import batches, files, snapshots
@@ -57,9 +57,11 @@ def json_lines_scan(spark, d):
 def json_array_scan(spark, d):
     """Files holding one array of at most 5000 objects, read by the multi-line reader."""
     path = scratch(spark, "arrays")
-    grouped = events(spark, d).groupBy(F.floor(F.monotonically_increasing_id() / 5000)).agg(
-        F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    _write_text(grouped.select("value"), path, 1)
+    made = events(spark, d, lots_of=5000)
+    records = F.struct(*(c for c in made.columns if c != LOT))
+    # The rows of a lot are in one task already. A task's memory holds its lots as text.
+    grouped = made.groupBy(LOT).agg(F.collect_list(F.to_json(records)).alias("_texts"))
+    _write_text(grouped.select(F.concat(F.lit("["), F.array_join("_texts", ","), F.lit("]")).alias("value")), path, 1)
     records = landing.json_documents(spark, path, schemas.EVENT, glob=_TEXTS)
     return settle(flatten_events(records).select(*_SAMPLE_COLUMNS))
 
